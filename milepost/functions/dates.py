@@ -34,7 +34,9 @@ def month_end_of(col: Column) -> Column:
 
 
 def _second_of_day(col: Column) -> Column:
-    return F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+    # The type is known when planning, so for dates this folds to zero.
+    clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+    return F.when(F.typeof(col) == "date", F.lit(0)).otherwise(clock)
 
 
 def days_between(end: Column, start: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.dates import add_days, day, days_between
-from milepost.functions.rules import holds
+from milepost.functions.rules import any_of, holds
 from milepost.functions.stats import jarque_bera, outside, pearson
 from milepost.operators.pick import pick_row, split_duplicate_ids
 from milepost.plans.model import ALL_MARKETS, LEVELS, PHASES, SEGMENT, SPLIT_TYPE, TRIM_Z
@@ -34,20 +34,25 @@ def phase_durations(units: DataFrame) -> DataFrame:
 
 
 def _disorder() -> dict[str, Column]:
-    """For every pair of phases, whether the later one took longer than the earlier one."""
+    """For every pair of phases, whether the later one began before the earlier one.
+
+    Comparing the dates is the same as comparing their spans to operation, and stays a
+    plain predicate on two columns.
+    """
     return {
-        f"{late}>{early}": holds(F.col(f"days_{early}") < F.col(f"days_{late}"))
+        f"{late}>{early}": holds(F.col(PHASES[early]) > F.col(PHASES[late]))
         for early, late in combinations(PHASES, 2)
     }
 
 
-def check_order(durations: DataFrame) -> tuple[DataFrame, DataFrame]:
+def check_order(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose milestones are in order, and the rejected ones with the reasons."""
-    parts = [F.when(cond, F.lit(f"{label},")).otherwise("") for label, cond in _disorder().items()]
-    judged = durations.withColumn("reject_reason", F.concat(*parts))
+    wrong = _disorder()
+    parts = [F.when(cond, F.lit(f"{label},")).otherwise("") for label, cond in wrong.items()]
+    rejected = any_of(*wrong.values())
     return (
-        judged.filter("reject_reason = ''").drop("reject_reason"),
-        judged.filter("reject_reason <> ''"),
+        units.filter(~rejected),
+        units.filter(rejected).withColumn("reject_reason", F.concat(*parts)),
     )
 
 
@@ -69,8 +74,9 @@ def clean_history(
     keyed = split_duplicate_ids(
         rows, "plant_id", ["commercial_date", *order], F.col("gen_type") == SPLIT_TYPE
     )
-    ordered, _ = check_order(phase_durations(keyed))
-    return pick_row(ordered, ["unit_key"], "commercial_date", list(order), largest=False)
+    ordered, _ = check_order(keyed)
+    first = pick_row(ordered, ["unit_key"], "commercial_date", list(order), largest=False)
+    return phase_durations(first)
 
 
 def split_by_date(df: DataFrame, cut_off: dt.date = CUT_OFF) -> tuple[DataFrame, DataFrame]:

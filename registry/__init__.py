@@ -1,2 +1,2 @@
-from registry import relational_queries, training_queries  # noqa: F401
+from registry import relational_queries, training_queries, forecast_queries  # noqa: F401
 from registry.base import ORACLES, QUERIES  # noqa: F401
