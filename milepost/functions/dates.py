@@ -53,8 +53,8 @@ def whole_days(end: Column, start: Column) -> Column:
 
 def add_days(date: Column, days: Column) -> Column:
     """Shift by a fractional number of days, to the millisecond."""
-    seconds = F.round(days * 86400.0, 3).cast("decimal(18,6)")
-    return stamp(date) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    millis = F.floor(days * 86_400_000.0 + 0.5).cast("bigint")
+    return F.timestamp_add("MILLISECOND", millis, stamp(date))
 
 
 def midnight(col: Column) -> Column:

@@ -34,6 +34,23 @@ DEFAULT_START_DAYS = 120
 NEXT_MILESTONE_DAYS = 40
 TEST_LIMIT_DAYS = 30
 
+# Columns of the registry that a forecast reads or hands on.
+_UNIT_COLUMNS = ["plant_id", "unit_no", "unit_mw", "test_date", "commercial_date", "granted_commercial"]
+_PLANT_COLUMNS = [
+    "plant_id",
+    "plant_name",
+    "gen_type",
+    "market",
+    "plant_monitored",
+    "no_forecast",
+    "monitored_at",
+    "planned_start",
+    "granted_start",
+    "start_date",
+    "concrete_date",
+    "assembly_date",
+]
+
 _SCORES = ["a", "b", "mean_days", "mean_delay", "std_delay"]
 
 
@@ -83,8 +100,10 @@ def forecast_input(
     Types unknown to the model drop out. The alias of a type is applied before that
     join, so aliased types are kept. One join of units and plants; all else is small.
     """
-    facts = plant_facts(plants, auctions).withColumn("gen_type", same_type(F.col("gen_type")))
-    rows = open_units(units).join(facts, "plant_id", "left")
+    facts = plant_facts(plants.select(*_PLANT_COLUMNS), auctions).withColumn(
+        "gen_type", same_type(F.col("gen_type"))
+    )
+    rows = open_units(units).select(*_UNIT_COLUMNS).join(facts, "plant_id", "left")
     test_phase = model.df.filter("phase = 'OT'")
     if "market" in model.df.columns:
         test_phase = test_phase.groupBy("gen_type").agg(F.max("mean_days").alias("mean_days"))
@@ -204,19 +223,18 @@ def two_forecasts(rows: DataFrame) -> DataFrame:
     def line(side: str) -> Column:
         return add_days(due, F.col(f"delay_{side}") * F.col(f"a_{side}") + F.col(f"b_{side}"))
 
-    def chance(side: str) -> Column:
-        return late_probability(*[F.col(f"{c}_{side}") for c in ("delay", "mean_delay", "std_delay")])
-
-    sides = {f"forecast_{s}": line(s) for s in ("cur", "nxt")}
-    sides |= {f"probability_{s}": chance(s) for s in ("cur", "nxt")}
+    dated = rows.withColumns({f"forecast_{s}": line(s) for s in ("cur", "nxt")})
+    dated = late_probability(
+        dated,
+        {
+            f"probability_{s}": tuple(F.col(f"{c}_{s}") for c in ("delay", "mean_delay", "std_delay"))
+            for s in ("cur", "nxt")
+        },
+    )
     by_next = holds(F.col("forecast") == F.col("forecast_nxt"))
-    return (
-        rows.withColumns(sides)
-        .withColumn("forecast", F.greatest("forecast_cur", "forecast_nxt"))
-        .withColumn(
-            "probability",
-            F.when(by_next, F.col("probability_nxt")).otherwise(F.col("probability_cur")),
-        )
+    return dated.withColumn("forecast", F.greatest("forecast_cur", "forecast_nxt")).withColumn(
+        "probability",
+        F.when(by_next, F.col("probability_nxt")).otherwise(F.col("probability_cur")),
     )
 
 

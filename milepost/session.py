@@ -20,6 +20,9 @@ _RUNTIME_SETTINGS = {
     # its partition even when that costs one more exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM leaves methods above 8000 bytes uncompiled. Long rule stages go over that
+    # as one fused method and then run several times slower than operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A side is broadcast on its measured size, never on an estimate.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }

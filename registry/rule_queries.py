@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
+from milepost.operators.aggregates import value_counts
 from milepost.plans import rules_plant as rp
 from milepost.plans import rules_unit as ru
 from milepost.plans import rules_verdict as rv
@@ -19,7 +21,7 @@ from milepost.plans.pipelines import (
 )
 from milepost.session import staged
 from milepost.sources import sinks
-from registry.base import query, steps
+from registry.base import STEPS, query, steps
 from registry.training_queries import trained
 
 AS_OF = dt.date(2000, 6, 15)
@@ -286,8 +288,6 @@ def _(t):
        FROM rv_plants GROUP BY ALL""",
 )
 def _(t):
-    from milepost.operators.aggregates import value_counts
-
     cols = ["manual", "review_start", "to_ratify", "in_test", "stale", *rv.LANES]
     return value_counts(batch_of(t)[0], cols)
 
@@ -299,14 +299,10 @@ _RUN = ["ru_base", "ru_owner", "ru_dates", "ru_manual", "ru_units", "rv_lead", "
 
 def _rewired(text: str) -> str:
     for name in _RUN:
-        text = text.replace(f" {name} ", f" run_{name} ").replace(f" {name}\n", f" run_{name}\n")
-        if text.endswith(f" {name}"):
-            text = text[: -len(name)] + f"run_{name}"
+        text = re.sub(rf"\b{name}\b", f"run_{name}", text)
     return text.replace("LEFT JOIN forecast_fx f", "LEFT JOIN fc_final f")
 
 
-from registry.base import STEPS  # noqa: E402
-
 steps(**{f"run_{name}": _rewired(STEPS[name]) for name in _RUN})
 
 
