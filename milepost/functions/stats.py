@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Rational approximation of the error function
@@ -13,49 +13,32 @@ ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 
 
-def erf_parts(x: Column) -> tuple[Column, Column]:
-    """The reciprocal term of the approximation and the damping factor."""
-    return F.lit(1.0) / (F.lit(1.0) + F.lit(ERF_P) * F.abs(x)), F.exp(-x * x)
-
-
-def erf_of(x: Column, t: Column, damping: Column) -> Column:
-    """Error function from its parts, so that a plan can compute the parts only once."""
+def erf(x: Column) -> Column:
+    size = F.abs(x)
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(ERF_P) * size)
     poly = F.lit(0.0)
     for coefficient in reversed(ERF_A):
         poly = (poly + F.lit(coefficient)) * t
-    return F.signum(x) * (F.lit(1.0) - poly * damping)
-
-
-def erf(x: Column) -> Column:
-    return erf_of(x, *erf_parts(x))
+    return F.signum(x) * (F.lit(1.0) - poly * F.exp(-size * size))
 
 
 def normal_cdf(z: Column) -> Column:
     return F.lit(0.5) * (F.lit(1.0) + erf(z / F.lit(math.sqrt(2.0))))
 
 
-def late_probability(df: DataFrame, scores: dict[str, tuple[Column, Column, Column]]) -> DataFrame:
-    """Add the chance in percent that a normal delay exceeds (delay, mean, deviation).
+def standard_score(delay: Column, mean: Column, std: Column) -> Column:
+    """Delay in deviations from its mean, NaN when unknown or without spread.
 
-    NULL for a zero spread. The parts of the error function get projections of their
-    own: nested into one expression the score would be evaluated a dozen times.
+    NaN instead of NULL keeps the long formula built on it free of null checks, small
+    enough for the JVM to compile.
     """
-    scored = df.withColumns(
-        {
-            f"_x_{out}": F.try_divide(delay - mean, std * math.sqrt(2.0))
-            for out, (delay, mean, std) in scores.items()
-        }
-    )
-    parts = {out: erf_parts(F.col(f"_x_{out}")) for out in scores}
-    split = scored.withColumns(
-        {f"_t_{out}": t for out, (t, _) in parts.items()}
-        | {f"_d_{out}": damping for out, (_, damping) in parts.items()}
-    )
-    chances = [
-        (50.0 * (1.0 - erf_of(*[F.col(f"_{part}_{out}") for part in "xtd"]))).alias(out)
-        for out in scores
-    ]
-    return split.select(*df.columns, *chances)
+    return F.coalesce(F.try_divide(delay - mean, std), F.lit(float("nan")))
+
+
+def late_probability(score: Column) -> Column:
+    """Chance in percent that a normal delay exceeds the one with this score."""
+    chance = F.lit(100.0) * (F.lit(1.0) - normal_cdf(score))
+    return F.nullif(chance, F.lit(float("nan")))
 
 
 def outside(value: Column, mean: Column, std: Column, z: float) -> Column:

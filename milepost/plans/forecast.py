@@ -16,7 +16,7 @@ from milepost.functions.dates import (
     stamp,
 )
 from milepost.functions.rules import differs, first_match, holds, last_match
-from milepost.functions.stats import late_probability
+from milepost.functions.stats import late_probability, standard_score
 from milepost.plans.history import first_supply
 from milepost.plans.model import (
     ALL_MARKETS,
@@ -223,18 +223,28 @@ def two_forecasts(rows: DataFrame) -> DataFrame:
     def line(side: str) -> Column:
         return add_days(due, F.col(f"delay_{side}") * F.col(f"a_{side}") + F.col(f"b_{side}"))
 
-    dated = rows.withColumns({f"forecast_{s}": line(s) for s in ("cur", "nxt")})
-    dated = late_probability(
-        dated,
-        {
-            f"probability_{s}": tuple(F.col(f"{c}_{s}") for c in ("delay", "mean_delay", "std_delay"))
-            for s in ("cur", "nxt")
-        },
+    def score(side: str) -> Column:
+        return standard_score(*[F.col(f"{c}_{side}") for c in ("delay", "mean_delay", "std_delay")])
+
+    # Three projections: inputs, formulas, choice. Fewer would repeat the formulas.
+    scored = rows.withColumns(
+        {f"forecast_{s}": line(s) for s in ("cur", "nxt")}
+        | {f"_score_{s}": score(s) for s in ("cur", "nxt")}
+    )
+    chances = scored.select(
+        *[c for c in scored.columns if not c.startswith("_score_")],
+        *[late_probability(F.col(f"_score_{s}")).alias(f"probability_{s}") for s in ("cur", "nxt")],
     )
-    by_next = holds(F.col("forecast") == F.col("forecast_nxt"))
-    return dated.withColumn("forecast", F.greatest("forecast_cur", "forecast_nxt")).withColumn(
-        "probability",
-        F.when(by_next, F.col("probability_nxt")).otherwise(F.col("probability_cur")),
+    by_next = holds(
+        F.col("forecast_nxt") >= F.coalesce(F.col("forecast_cur"), F.col("forecast_nxt"))
+    )
+    return chances.withColumns(
+        {
+            "forecast": F.greatest("forecast_cur", "forecast_nxt"),
+            "probability": F.when(by_next, F.col("probability_nxt")).otherwise(
+                F.col("probability_cur")
+            ),
+        }
     )
 
 

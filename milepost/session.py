@@ -46,10 +46,11 @@ def build_session(app: str = "milepost", master: str | None = None, **conf: str)
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for stage tables: the cluster's setting, a temporary one only in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="milepost-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="milepost-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
