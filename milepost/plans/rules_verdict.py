@@ -28,7 +28,8 @@ def plant_rollup(units: DataFrame, as_of: dt.date) -> DataFrame:
     not the latest date; the criterion is the worst one.
     """
     rank = phase_order(F.col("phase"))
-    advanced = F.when(rank.isNotNull(), F.struct((-rank).alias("r"), F.col("unit_no")))
+    order = F.struct((-rank).alias("r"), "unit_no", "official_date", "official_source")
+    advanced = F.when(rank.isNotNull(), order)
     lead = F.min_by(F.struct("phase", "official_date", "official_source"), advanced)
     worst = F.max_by(
         F.struct("criterion_pmo", "criterion", "phase", "over_30_days"),

@@ -108,7 +108,7 @@ steps(
   WHEN raw_date = expected_commercial THEN 'Previsão do agente' WHEN raw_date = obligation_date THEN 'Obrigação'
   WHEN raw_date = forecast THEN 'Previsor' ELSE 'Handicap' END AS official_source,
  CASE phase WHEN 'OUT' THEN 0 WHEN 'IO' THEN 1 WHEN 'CC' THEN 2 WHEN 'ME' THEN 3 WHEN 'OT' THEN 4 END AS phase_rank FROM ru_manual""",
-    rv_lead="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plant_id ORDER BY phase_rank DESC, unit_no) AS rn
+    rv_lead="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plant_id ORDER BY phase_rank DESC, unit_no, official_date NULLS FIRST, official_source) AS rn
  FROM ru_units WHERE phase_rank IS NOT NULL) WHERE rn = 1""",
     rv_worst="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plant_id ORDER BY criterion_pmo DESC, phase_rank DESC NULLS LAST,
  over_30_days DESC NULLS LAST, unit_no DESC) AS rn FROM ru_units) WHERE rn = 1""",
