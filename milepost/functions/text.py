@@ -43,15 +43,17 @@ def has_split_digits(col: Column) -> Column:
 
 def _unit_runs(col: Column) -> Column:
     """Numbers of a unit list, one inner array per run between range marks."""
-    text = F.regexp_replace(col, " ", "")
-    text = F.regexp_replace(text, "e", ",")
-    text = F.regexp_replace(text, "-", "a")
-    text = F.regexp_replace(text, ",+", ",")
+    marks = F.regexp_replace(F.translate(col, "e- ", ",a"), ",+", ",")
     return F.transform(
-        F.split(text, "a"), lambda run: F.transform(F.split(run, ","), lambda n: n.try_cast("int"))
+        F.split(marks, "a"), lambda run: F.transform(F.split(run, ","), lambda n: n.try_cast("int"))
     )
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _pairs(runs: Column, combine) -> Column:
     rest = F.size(runs) - 1
     return F.zip_with(F.slice(runs, F.lit(1), rest), F.slice(runs, F.lit(2), rest), combine)
@@ -63,27 +65,29 @@ def _readable(runs: Column) -> Column:
 
 def unit_list(col: Column) -> Column:
     """``'01 a 04 e 06'`` to the sorted numbers ``[1, 2, 3, 4, 6]``; NULL if unreadable."""
-    runs = _unit_runs(col)
 
     def between(left: Column, right: Column) -> Column:
         low, high = F.element_at(left, -1) + 1, F.element_at(right, 1) - 1
         return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
-    filled = F.flatten(_pairs(runs, between))
-    return F.when(_readable(runs), F.array_sort(F.concat(F.flatten(runs), filled)))
+    def expand(runs: Column) -> Column:
+        filled = F.flatten(_pairs(runs, between))
+        return F.when(_readable(runs), F.array_sort(F.concat(F.flatten(runs), filled)))
+
+    return _once(_unit_runs(col), expand)
 
 
 def unit_count(col: Column) -> Column:
     """Length of ``unit_list`` without building the list."""
-    runs = _unit_runs(col)
-    gaps = _pairs(
-        runs,
-        lambda left, right: F.greatest(
-            F.element_at(right, 1) - F.element_at(left, -1) - 1, F.lit(0)
-        ),
-    )
-    extra = F.aggregate(gaps, F.lit(0), lambda total, gap: total + gap)
-    return F.when(_readable(runs), F.size(F.flatten(runs)) + extra)
+
+    def gap(left: Column, right: Column) -> Column:
+        return F.greatest(F.element_at(right, 1) - F.element_at(left, -1) - 1, F.lit(0))
+
+    def count(runs: Column) -> Column:
+        extra = F.aggregate(_pairs(runs, gap), F.lit(0), lambda total, n: total + n)
+        return F.when(_readable(runs), F.size(F.flatten(runs)) + extra)
+
+    return _once(_unit_runs(col), count)
 
 
 def percent_text(col: Column) -> Column:

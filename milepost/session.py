@@ -54,17 +54,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _stage_folder(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark).rstrip('/')}/milepost-{spark.sparkContext.applicationId}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet stage table in the shared folder and read it back.
 
     Used where one result feeds several later passes. Unlike a cached block the
     table survives executor loss, and later passes read only their columns.
     """
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = f"{_stage_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Remove the stage tables of this application, once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 class SmallTable:
     """A segment table together with the outcome of its size check.
 

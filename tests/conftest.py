@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from milepost.session import tune  # noqa: E402
+from milepost.session import drop_stages, tune  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -26,4 +26,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    drop_stages(session)
     session.stop()

@@ -14,7 +14,7 @@ from milepost.plans import rules_unit as ru
 from milepost.plans import rules_verdict as rv
 from milepost.plans import texts, training
 from milepost.plans.model import LEVELS, PHASES
-from milepost.session import SmallTable
+from milepost.session import SmallTable, staged
 from registry import rule_queries as rq
 from registry.base import Tables
 from tests.conftest import FOLDER
@@ -142,7 +142,7 @@ def test_operating_unit_left_out_counts(spark):
 @pytest.fixture(scope="module")
 def batch(spark):
     plants, units = rq.batch_of(Tables(spark, FOLDER))
-    return plants.cache(), units.cache()
+    return staged(plants), staged(units)
 
 
 def test_lanes_are_disjoint_and_dates_not_past(batch):
