@@ -17,7 +17,9 @@ def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def read_mapping(mapping: DataFrame, source: str, target: str) -> dict[str, str]:
     """Pairs of a mapping table, which holds one row per column of a table layout."""
-    pairs = mapping.select(source, target).dropna().limit(SMALL_TABLE_ROWS).collect()
+    pairs = mapping.select(source, target).dropna().limit(SMALL_TABLE_ROWS + 1).collect()
+    if len(pairs) > SMALL_TABLE_ROWS:
+        raise ValueError("not a column mapping: more rows than a table has columns")
     return {row[0]: row[1] for row in pairs}
 
 

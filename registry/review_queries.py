@@ -129,7 +129,7 @@ def _(t):
 def _other(t):
     """The registry as another system tells it: escaped texts, shifted dates, gaps."""
     coded = F.replace(F.col("works_status"), F.lit(" "), F.lit("_x0020_"))
-    return t.plant_fx.filter("plant_id % 10 > 0").select(
+    return t.plant_fx.filter("plant_monitored IS NOT NULL").select(
         "plant_id",
         F.when(F.col("market") == "ACR", 1.0).otherwise(2.0).alias("criterion_pmo"),
         coded.alias("criterion_text"),
@@ -151,8 +151,8 @@ def _ours(t):
 @query(
     "forecast_differences",
     """SELECT p.plant_id, CASE WHEN concrete_date IS NULL THEN 'OUT' ELSE 'IO' END AS phase_ours,
-        CASE WHEN p.plant_id % 10 > 0 THEN CASE WHEN start_date IS NULL THEN 'OUT' ELSE 'IO' END END AS phase_theirs,
-        CASE WHEN p.plant_id % 10 > 0 THEN CAST(planned_start - granted_start AS DOUBLE) END AS diff_days FROM plant_fx p""",
+        CASE WHEN p.plant_monitored IS NOT NULL THEN CASE WHEN start_date IS NULL THEN 'OUT' ELSE 'IO' END END AS phase_theirs,
+        CASE WHEN p.plant_monitored IS NOT NULL THEN CAST(planned_start - granted_start AS DOUBLE) END AS diff_days FROM plant_fx p""",
 )
 def _(t):
     rows = dg.forecast_differences(_ours(t), _other(t), ["plant_id"])
@@ -162,8 +162,8 @@ def _(t):
 @query(
     "compare_systems",
     """SELECT * FROM (SELECT plant_id, CASE WHEN gen_type = 'UHE' THEN 2.0 ELSE 1.0 END AS criterion_pmo_ours,
-        CASE WHEN plant_id % 10 > 0 THEN CASE WHEN market = 'ACR' THEN 1.0 ELSE 2.0 END END AS criterion_pmo_theirs,
-        works_status AS criterion_text_ours, CASE WHEN plant_id % 10 > 0 THEN works_status END AS criterion_text_theirs,
+        CASE WHEN plant_monitored IS NOT NULL THEN CASE WHEN market = 'ACR' THEN 1.0 ELSE 2.0 END END AS criterion_pmo_theirs,
+        works_status AS criterion_text_ours, CASE WHEN plant_monitored IS NOT NULL THEN works_status END AS criterion_text_theirs,
         coalesce(criterion_pmo_ours <> criterion_pmo_theirs, true) AS criterion_pmo_differs,
         coalesce(criterion_text_ours <> criterion_text_theirs, true) AS criterion_text_differs FROM plant_fx)
        WHERE criterion_pmo_differs OR criterion_text_differs""",
