@@ -185,9 +185,8 @@ def test_no_cross_joins_and_no_python_in_the_plans(spark):
         assert "Python" not in text and "Pandas" not in text
 
 
-def test_rollup_is_one_aggregation(spark):
-    t = Tables(spark, FOLDER)
-    text = physical(rv.plant_rollup(rq.units_of(t), AS_OF))
+def test_rollup_is_one_aggregation(batch):
+    text = physical(rv.plant_rollup(batch[1], AS_OF))
     assert text.count("Exchange hashpartitioning(plant_id") == 1
     assert "partial_max_by" in text and "partial_min_by" in text
 
