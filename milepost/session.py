@@ -45,10 +45,16 @@ def build_session(app: str = "milepost", master: str | None = None, **conf: str)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for stage tables: the cluster's setting, a temporary one only in tests."""
+    """Shared folder for stage tables: what ``spark.checkpoint.dir`` names.
+
+    Unset, it is made only for a session whose driver and executors are one process, as in
+    tests; on a cluster a folder of one machine would be of no use, so that is an error.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="milepost-"))
         folder = context.getCheckpointDir()
     return folder

@@ -11,9 +11,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import registry
 from tests.conftest import FOLDER
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,10 @@ def plain(value):
     return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else str(value)
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
