@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from milepost.llm import quality_rules
+from milepost.llm import quality_rules, sharding, warc
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -68,3 +69,32 @@ def query(name: str, oracle: str | None = None):
 )
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.clean(table(spark, folder, "documents")).drop("clean_text")
+
+
+@query("op3_best_fit_shards")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    packed = sharding.pack(table(spark, folder, "documents"), shards=40)
+    return packed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query(
+    "op7_warc_revisits",
+    """
+    WITH p AS (
+      SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+             sha1(coalesce(html, '')) AS payload_digest
+      FROM pages),
+    first AS (SELECT payload_digest, max(page_id) AS id FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+           CASE WHEN id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN id <> page_id THEN id END AS refers_to, true AS intact
+    FROM p LEFT JOIN first USING (payload_digest)
+    """,
+)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.archive_folder(spark)
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    read = warc.read_archives(spark, archives)
+    intact = (F.sha1("payload") == F.col("payload_digest")) & (F.octet_length("payload") == F.col("payload_bytes"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return read.select(*columns, F.coalesce(intact, F.col("record_type") == "revisit").alias("intact"))
