@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import quality_rules, sharding, warc
+from milepost.llm import byte_bpe, quality_rules, sharding, warc
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -98,3 +99,16 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     intact = (F.sha1("payload") == F.col("payload_digest")) & (F.octet_length("payload") == F.col("payload_bytes"))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return read.select(*columns, F.coalesce(intact, F.col("record_type") == "revisit").alias("intact"))
+
+
+@query("op6_byte_bpe")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(coded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("starts") / 4).cast("long").alias("n_offsets"),
+    )
