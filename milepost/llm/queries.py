@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import byte_bpe, quality_rules, sharding, warc
+from milepost.llm import byte_bpe, quality_cnn, quality_rules, sharding, warc
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -112,3 +112,15 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.octet_length("starts") / 4).cast("long").alias("n_offsets"),
     )
+
+
+@query("op2_quality_cnn")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    net = quality_cnn.train(docs, table(spark, folder, "labels"))
+    return quality_cnn.score(docs, net).select(
+        "doc_id",
+        quality_cnn.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
