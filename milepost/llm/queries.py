@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import byte_bpe, quality_cnn, quality_rules, sharding, warc
+from milepost.llm import byte_bpe, quality_cnn, quality_rules, sharding, simhash_decontam, warc
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -124,3 +124,12 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op10_simhash_decontamination")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = simhash_decontam.find(docs, benchmark)
+    return found.select(
+        F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "similarity", "first_word", "end_word"
+    )
