@@ -25,6 +25,8 @@ _RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A side is broadcast on its measured size, never on an estimate.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # Rows of whole texts go to Python workers a few megabytes at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
