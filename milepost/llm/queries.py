@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import byte_bpe, quality_cnn, quality_rules, sharding, simhash_decontam, warc
+from milepost.llm import byte_bpe, lpf_dedup, quality_cnn, quality_rules, sharding, simhash_decontam, warc
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -133,3 +133,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "similarity", "first_word", "end_word"
     )
+
+
+@query("op9_lpf_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    cut = lpf_dedup.remove_repeats(table(spark, folder, "documents"), keep="none")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
