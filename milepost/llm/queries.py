@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import byte_bpe, lpf_dedup, quality_cnn, quality_rules, sharding, simhash_decontam, warc
+from milepost.llm import byte_bpe, icws_dedup, lpf_dedup, quality_cnn, quality_rules, sharding, simhash_decontam, warc
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -139,3 +139,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     cut = lpf_dedup.remove_repeats(table(spark, folder, "documents"), keep="none")
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op8_icws_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return icws_dedup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
