@@ -73,8 +73,8 @@ class Words:
     def __init__(self):
         self.up = self.down = np.ones(1, np.uint64)
 
-    def of(self, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word hashes in order, and the bounds of each text in them."""
+    def of(self, flat: np.ndarray, at: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes in order, and the bounds of each text in them; of the first ``most`` bytes if given."""
         n = len(flat)
         if not n:
             return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
@@ -90,6 +90,8 @@ class Words:
         begin = inside[1:] & (~inside[:-1] | edge)
         end = inside[:-1] & (~inside[1:] | edge)
         first, last = np.flatnonzero(begin), np.flatnonzero(end)
+        if most:
+            last = np.minimum(last, first + most)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_values[flat] * self.up[:n], out=sums[1:])
         return mixed((sums[last] - sums[first]) * self.down[first]), np.searchsorted(first, at)

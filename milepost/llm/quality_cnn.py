@@ -170,14 +170,16 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 0) -> dict[str, np.nd
     return net
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[list[bytes], list[int]]:
+def training_rows(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int = TRAIN_ROWS
+) -> tuple[list[bytes], list[int]]:
     """A bounded sample of labelled texts outside the held-out rows."""
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
-    # TRAIN_ROWS keys at most: small enough to be sent to every task.
-    known = known.orderBy(F.xxhash64("_key"), "_key").limit(TRAIN_ROWS)
+    # ``most`` keys: small enough to be sent to every task.
+    known = known.orderBy(F.xxhash64("_key"), "_key").limit(most)
     rows = docs.select(docs[key].alias("_key"), F.coalesce(docs[text], F.lit("")).alias("_text"))
-    rows = rows.join(F.broadcast(known), "_key").orderBy(F.xxhash64("_key"), "_key", "_text").limit(TRAIN_ROWS)
+    rows = rows.join(F.broadcast(known), "_key").orderBy(F.xxhash64("_key"), "_key", "_text").limit(most)
     texts, marks, size = [], [], 0
     for row in rows.select(F.col("_text").cast("binary").alias("t"), "_label").toLocalIterator():
         size += len(row["t"])

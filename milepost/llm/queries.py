@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import byte_bpe, icws_dedup, lpf_dedup, quality_cnn, quality_rules, sharding, simhash_decontam, warc
+from milepost.llm import (
+    byte_bpe,
+    icws_dedup,
+    lpf_dedup,
+    quality_cnn,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash_decontam,
+    toxicity,
+    warc,
+)
 from milepost.llm.common import table
 from milepost.session import tune
 
@@ -144,3 +155,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_icws_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return icws_dedup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query("op4_secret_forest")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "place", F.sha2("value", 256).alias("value_sha256"), "length", "label", "probability", "is_secret"
+    )
+
+
+@query("op5_toxicity_chain")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    categories = [f"p_{c}" for c in toxicity.CATEGORIES[:-1]]
+    return scored.select(
+        "doc_id", *categories, F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted")
+    )
