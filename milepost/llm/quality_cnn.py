@@ -123,7 +123,7 @@ def _gradients(net, codes, windows, owner, n, labels):
     where = values.argmax(1)
     best = np.maximum(np.take_along_axis(values, where[:, None], 1)[:, 0] + net["bias"], 0)
     count = np.bincount(owner, minlength=n)[:, None].astype(np.float32)
-    total, top = np.zeros((n, FILTERS), np.float32), np.zeros((n, FILTERS), np.float32)
+    total, top = np.zeros((n, FILTERS), best.dtype), np.zeros((n, FILTERS), best.dtype)
     np.add.at(total, owner, best)
     np.maximum.at(top, owner, best)
     mean = total / count
