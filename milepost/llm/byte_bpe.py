@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from milepost.llm.common import pieces, text_bytes
 
 # Arrow batches are worked on in parts of about this many bytes of text.
-PART_BYTES = 4_000_000
+PART_BYTES = 1_000_000
 # Pieces remembered per task; beyond it the table starts anew.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 200_000
 
 
 def byte_characters() -> list[str]:
