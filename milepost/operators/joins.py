@@ -65,8 +65,11 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def lookup(
     df: DataFrame, entries: DataFrame, key: str, value: str, order: str
 ) -> DataFrame:
-    """Dictionary lookup: among repeated entries the one with the largest ``order`` wins."""
-    latest = entries.groupBy(key).agg(F.max_by(value, order).alias(value))
+    """Dictionary lookup: among repeated entries the one with the largest ``order`` wins.
+
+    Entries of equal order are settled by the larger value.
+    """
+    latest = entries.groupBy(key).agg(F.max_by(value, F.struct(order, value)).alias(value))
     return df.join(latest, key, "left")
 
 

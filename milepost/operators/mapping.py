@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.session import SMALL_TABLE_ROWS
-
 
 def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Columns that exist on one side only."""
@@ -15,12 +13,14 @@ def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.sparkSession.createDataFrame(rows, "column string, side string")
 
 
-def read_mapping(mapping: DataFrame, source: str, target: str) -> dict[str, str]:
-    """Pairs of a mapping table, which holds one row per column of a table layout."""
-    pairs = mapping.select(source, target).dropna().limit(SMALL_TABLE_ROWS + 1).collect()
-    if len(pairs) > SMALL_TABLE_ROWS:
-        raise ValueError("not a column mapping: more rows than a table has columns")
-    return {row[0]: row[1] for row in pairs}
+def read_mapping(mapping: DataFrame, source: str, target: str, columns: list[str]) -> dict[str, str]:
+    """Pairs of a mapping table for the given columns of a table, so one pair per column at most.
+
+    Of several names for a column the least is taken.
+    """
+    known = mapping.filter(F.col(source).isin(columns) & F.col(target).isNotNull())
+    pairs = known.groupBy(source).agg(F.min(target).alias(target)).collect()
+    return {row[source]: row[target] for row in pairs}
 
 
 def apply_mapping(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

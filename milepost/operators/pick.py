@@ -70,5 +70,9 @@ def split_duplicate_ids(
     renamed = F.when(
         F.col("_repeated"), F.concat_ws("_", id_text, number.cast("string"))
     ).otherwise(id_text)
-    numbered = chosen.join(offsets, [key, "_cell"]).withColumn(out, renamed)
+    # Rows without a key stay, without a number; only known keys need the join.
+    known = chosen.filter(F.col(key).isNotNull()).join(offsets.filter(F.col(key).isNotNull()), [key, "_cell"])
+    numbered = known.withColumn(out, renamed)
+    unknown = chosen.filter(F.col(key).isNull()).withColumn(out, id_text).select(*df.columns, out)
+    numbered = numbered.select(*df.columns, out).unionByName(unknown)
     return plain.withColumn(out, id_text).unionByName(numbered.select(*df.columns, out))

@@ -68,7 +68,7 @@ def check_dates(
 ) -> DataFrame:
     """Manual plants saved since the start whose date on some open unit deviates widely.
 
-    One unit per plant is shown, the lowest number.
+    One unit per plant is shown, the lowest number; a unit without one only if all are so.
     """
     manual = worklist.filter(F.col("manual").isNotNull() & F.col("rule_date").isNotNull()).select(
         "plant_id", "rule_date", "reviewer"
@@ -79,11 +79,13 @@ def check_dates(
     gap = F.abs(days_between(F.col("planned_commercial"), F.col("rule_date")))
     # One unit per plant is settled before the plants are joined.
     far = pick_row(
-        natural_join(open_units, manual).filter(gap > DEVIATION_DAYS),
+        natural_join(open_units, manual)
+        .filter(gap > DEVIATION_DAYS)
+        .withColumn("_place", F.struct(F.col("unit_no").isNull().alias("unknown"), "unit_no")),
         ["plant_id"],
-        "unit_no",
+        "_place",
         largest=False,
-    )
+    ).drop("_place")
     since = stamp(F.col("monitored_at")) > F.lit(started_at).cast("timestamp_ntz")
     return plants.select("plant_id", "monitored_at").join(far, "plant_id", "right").filter(since)
 

@@ -27,7 +27,7 @@ GRID_JUSTIFICATION = "Situação das obras de conexão e linha de transmissão a
 ANALYSE_PREFIX = "Analisar"
 
 SOURCE_HANDICAP = "Handicap"
-SOURCE_FORECAST = "Previsor"
+SOURCE_FORECAST = "Data calculada"
 SOURCE_OBLIGATION = "Obrigação"
 SOURCE_OWNER = "Previsão do agente"
 SOURCE_60_DAYS = "60 dias"

@@ -70,7 +70,7 @@ def clean_history(
     """
     keep = ["plant_id", "gen_type", "market", "obligation_date", "commercial_date"]
     cols = list(dict.fromkeys([*keep, *PHASES.values(), *order, *extra]))
-    rows = finished(units).select(*cols)
+    rows = finished(units).filter(F.col("plant_id").isNotNull()).select(*cols)
     keyed = split_duplicate_ids(
         rows, "plant_id", ["commercial_date", *order], F.col("gen_type") == SPLIT_TYPE
     )

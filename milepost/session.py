@@ -1,4 +1,4 @@
-"""Session settings, shared scratch tables and size-checked small tables."""
+"""Session settings, shared scratch tables and segment tables."""
 
 from __future__ import annotations
 
@@ -6,12 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A table is joined by broadcast only after its row count has been checked
-# against this bound; anything larger takes the salted shuffle join.
-SMALL_TABLE_ROWS = 10_000
-SALTS = 32
 
 _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -23,7 +17,7 @@ _RUNTIME_SETTINGS = {
     # The JVM leaves methods above 8000 bytes uncompiled. Long rule stages go over that
     # as one fused method and then run several times slower than operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A side is broadcast on its measured size, never on an estimate.
+    # A side is broadcast by its measured size: of a stage, or of the files of a stage table.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Rows of whole texts go to Python workers a few megabytes at a time.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -84,27 +78,23 @@ def drop_stages(spark: SparkSession) -> None:
 
 
 class SmallTable:
-    """A segment table together with the outcome of its size check.
+    """A segment table, computed once into a stage table because several passes read it.
 
-    At most ``max_rows + 1`` rows reach the driver. A table within the bound becomes
-    a local relation and is broadcast; a larger one is staged and ``join`` salts it.
+    ``join`` is the same plan for every size: whether the table is broadcast is decided by
+    the measured size of what was written, and a hot segment is split by the runtime.
     """
 
-    def __init__(self, df: DataFrame, max_rows: int = SMALL_TABLE_ROWS):
-        head = df.limit(max_rows + 1).toArrow()
-        self.fits = head.num_rows <= max_rows
-        self.df = df.sparkSession.createDataFrame(head, df.schema) if self.fits else staged(df)
+    def __init__(self, df: DataFrame):
+        self.df = staged(df)
 
     def derive(self, df: DataFrame) -> SmallTable:
-        """A projection or filter of this table: it cannot be larger, so no new check."""
+        """A projection or filter of this table."""
         table = SmallTable.__new__(SmallTable)
-        table.fits, table.df = self.fits, df
+        table.df = df
         return table
 
     def join(self, big: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-        """Join ``big`` to this table on ``keys`` without shuffling ``big`` on few values."""
-        if self.fits:
-            return big.join(F.broadcast(self.df), keys, how)
-        salted = self.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
-        return spread.join(salted, [*keys, "_salt"], how).drop("_salt")
+        """Join ``big`` to this table on ``keys``."""
+        if how not in ("left", "inner"):
+            raise ValueError("a segment table is joined to rows by left or inner join")
+        return big.join(self.df, keys, how)

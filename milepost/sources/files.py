@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from functools import reduce
 
@@ -39,7 +40,9 @@ def ingest_files(
         if parquet_dir is None:
             table = read_table(spark, path)
         else:
-            copy = f"{parquet_dir}/{os.path.basename(path)}.parquet"
+            # Files of the same base name in different folders have different copies.
+            place = hashlib.sha256(path.encode()).hexdigest()[:16]
+            copy = f"{parquet_dir}/{os.path.basename(path)}-{place}.parquet"
             if refresh or not _exists(spark, copy):
                 read_table(spark, path).write.mode("overwrite").parquet(copy)
             table = spark.read.parquet(copy)
@@ -86,5 +89,11 @@ def parse_ids(lines: DataFrame, text: str = "value", out: str = "plant_id") -> D
     )
 
 
+def unreadable_ids(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Entries of a comma-separated text that are neither blank nor a number."""
+    tokens = lines.select(F.trim(F.explode(F.split(F.col(text), ","))).alias("token"))
+    return tokens.filter((F.col("token") != "") & F.col("token").try_cast("bigint").isNull()).distinct()
+
+
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     return parse_ids(spark.read.text(path))

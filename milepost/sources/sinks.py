@@ -25,12 +25,12 @@ BUSINESS_NAMES = {
     "criterion_text": "DscCriterioPrevisao",
     "obligation_date": "OC_Obrigacao",
     "justification": "DscJustificativaPrevisaoAtual",
-    "forecast": "CalculoPrevisorOC",
+    "forecast": "Calculo OC",
     "to_ratify": "Homologar Marcos",
     "ratify_list": "Marcos a Homologar",
     "manual": "Manual",
     "expected_commercial_max": "Previsão do agente max",
-    "forecast_max": "Previsor max",
+    "forecast_max": "Calculada max",
     "obligation_date_max": "Obrigação max",
     "official_source": "EscolhaRegraPMO",
     "review_start": "Revisar IO",

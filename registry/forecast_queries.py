@@ -183,11 +183,11 @@ def _(t):
 
 @query(
     "forecast_final",
-    "SELECT plant_id, unit_no, start_date, CASE WHEN phase = 'OUT' THEN phase_date END AS start_imputed, CAST(forecast AS DATE) AS forecast FROM fc_final WHERE phase IN ('OUT', 'ME')",
+    "SELECT plant_id, unit_no, start_date, CASE WHEN phase = 'OUT' THEN phase_date END AS start_imputed, CAST(forecast AS DATE) AS forecast FROM fc_final",
 )
 def _(t):
     scored, _ = full(t)
-    return scored.filter("phase IN ('OUT', 'ME')").select(
+    return scored.select(
         "plant_id", "unit_no", "start_date", "start_imputed", F.col("forecast").cast("date").alias("forecast")
     )
 

@@ -1,5 +1,7 @@
 """Domain views derived from the given tables. The same text runs in Spark and DuckDB;
-base tables stand in braces."""
+base tables stand in braces. Every view keeps all rows of its table; where a plant is to lack
+reports or forecasts, those rows belong to a plant that the registry does not know (a
+negative id)."""
 
 TABLES = {
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -72,7 +74,7 @@ SELECT o_orderkey AS plant_id, concat('P', CAST(o_orderkey AS STRING)) AS plant_
 FROM {{orders}}""",
     # Self-reports of four kinds, many per plant; seq settles equal times.
     "schedule_fx": f"""
-SELECT l_orderkey AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
+SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey ELSE -l_orderkey END AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
  CASE WHEN l_tax < 0.06 THEN {_after('l_shipdate', 'floor(l_quantity)')} END AS reported_planned_start,
  CASE WHEN l_quantity > 40 THEN {_after('l_shipdate', '-100')} END AS reported_site,
  CASE WHEN l_quantity > 30 THEN {_after('l_shipdate', '-90')} END AS reported_start,
@@ -86,19 +88,19 @@ SELECT l_orderkey AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} A
  CASE WHEN l_discount > 0.05 THEN {_after('l_shipdate', '-20')} END AS reported_commissioning,
  CASE WHEN l_discount > 0.06 THEN {_after('l_shipdate', '-15')} END AS reported_transmission_start,
  CASE WHEN l_discount > 0.07 THEN {_after('l_shipdate', '-10')} END AS reported_transmission_end
-FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
+FROM {{lineitem}}""",
     "contract_fx": f"""
-SELECT l_orderkey AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
+SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey ELSE -l_orderkey END AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
  CASE WHEN l_discount > 0.07 THEN CAST(l_shipdate AS DATE) END AS private_sale_date
-FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
+FROM {{lineitem}}""",
     "licence_fx": f"""
-SELECT l_orderkey AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
+SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey ELSE -l_orderkey END AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
  CASE WHEN l_quantity > 10 THEN CAST(l_shipdate AS DATE) + 365 END AS lp_until,
  CASE WHEN l_quantity > 25 THEN CAST(l_shipdate AS DATE) + 500 END AS li_until,
  CASE WHEN l_quantity > 40 THEN CAST(l_shipdate AS DATE) + 700 END AS lo_until
-FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
+FROM {{lineitem}}""",
     "access_fx": f"""
-SELECT l_orderkey AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
+SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey ELSE -l_orderkey END AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} AS seq, l_extendedprice AS ep,
  CASE WHEN l_tax < 0.02 THEN 'Válido' WHEN l_tax < 0.03 THEN 'Vencido' WHEN l_tax < 0.04 THEN 'Não Assinado'
   WHEN l_tax < 0.07 THEN 'Não se Aplica' END AS ccd,
  CASE WHEN l_discount < 0.02 THEN 'Válido' WHEN l_discount < 0.03 THEN 'Vencido'
@@ -106,23 +108,23 @@ SELECT l_orderkey AS plant_id, CAST(l_shipdate AS DATE) AS sent_at, {_UNIT_NO} A
  CASE WHEN l_tax > 0.05 THEN 'Válido' WHEN l_tax > 0.04 THEN 'Vencido' WHEN l_tax > 0.01 THEN 'Não se Aplica' END AS cusd,
  CASE WHEN l_discount > 0.05 THEN 'Válido' WHEN l_discount > 0.04 THEN 'Não Assinado'
   WHEN l_discount > 0.01 THEN 'Não se Aplica' END AS cust
-FROM {{lineitem}} WHERE l_returnflag <> 'N'""",
+FROM {{lineitem}}""",
     # Several unit rows share one report time.
     "unit_report_fx": f"""
-SELECT l_orderkey AS plant_id, {_UNIT_NO} AS unit_no,
+SELECT CASE WHEN l_returnflag <> 'N' OR l_linestatus = 'O' THEN l_orderkey ELSE -l_orderkey END AS plant_id, {_UNIT_NO} AS unit_no,
  CAST(date_trunc('year', l_shipdate) AS DATE) AS sent_at,
  CASE WHEN l_quantity > 4 THEN CAST(l_shipdate AS DATE) + 90 END AS expected_commercial
-FROM {{lineitem}} WHERE l_returnflag <> 'N' OR l_linestatus = 'O'""",
+FROM {{lineitem}}""",
     # Forecast of open units, as another run would have left it.
     "forecast_fx": f"""
-SELECT l_orderkey AS plant_id, {_UNIT_NO} AS unit_no,
+SELECT CASE WHEN l_returnflag <> 'R' THEN l_orderkey ELSE -l_orderkey END AS plant_id, {_UNIT_NO} AS unit_no,
  CASE WHEN l_tax < 0.02 THEN 'OT' WHEN l_tax < 0.04 THEN 'ME' WHEN l_tax < 0.05 THEN 'CC'
   WHEN l_tax < 0.07 THEN 'IO' ELSE 'OUT' END AS phase,
  l_quantity * 2 AS probability,
  CASE WHEN l_tax < 0.01 THEN 1 ELSE 0 END AS over_30_days,
  CASE WHEN l_discount > 0 THEN {_after('l_shipdate', 'floor(l_quantity * 12)')} END AS forecast,
  CAST(l_shipdate AS DATE) + 60 AS obligation_date
-FROM {{lineitem}} WHERE l_returnflag <> 'R'""",
+FROM {{lineitem}}""",
     # Free-text unit lists of legacy records.
     "legacy_fx": f"""
 SELECT l_orderkey AS plant_id, l_partkey AS pk,

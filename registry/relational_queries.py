@@ -189,20 +189,7 @@ def _(t):
         "CASE r_regionkey WHEN 0 THEN 'o_orderkey' WHEN 1 THEN 'o_totalprice' WHEN 2 THEN 'absent' END AS old",
         "CASE r_regionkey WHEN 0 THEN 'plant_id' WHEN 1 THEN 'power' WHEN 2 THEN 'none' END AS new",
     )
-    return mapping.apply_mapping(t.orders, mapping.read_mapping(pairs, "old", "new"))
-
-
-@query(
-    "schema_difference",
-    """WITH a AS (SELECT unnest(['plant_id','unit_no','ep','unit_mw','gen_type','market','obligation_date',
-        'commercial_date','test_date','assembly_date','concrete_date','start_date']) AS c),
-       b AS (SELECT unnest(['plant_id','unit_no','unit_mw','unit_monitored','test_date','commercial_date',
-        'granted_commercial','planned_commercial']) AS c)
-       SELECT c AS "column", 'left_only' AS side FROM a WHERE c NOT IN (SELECT c FROM b)
-       UNION ALL SELECT c, 'right_only' FROM b WHERE c NOT IN (SELECT c FROM a)""".replace("unit_fx", ""),
-)
-def _(t):
-    return mapping.schema_diff(t.unit_fx, t.reg_unit_fx)
+    return mapping.apply_mapping(t.orders, mapping.read_mapping(pairs, "old", "new", t.orders.columns))
 
 
 # --- joins --------------------------------------------------------------------
@@ -211,10 +198,10 @@ def _(t):
 @query(
     "left_enrich",
     """SELECT u.plant_id, u.unit_no, p.gen_type, p.market FROM reg_unit_fx u
-       LEFT JOIN (SELECT * FROM plant_fx WHERE plant_monitored = 'Sim') p ON u.plant_id = p.plant_id""",
+       LEFT JOIN plant_fx p ON u.plant_id = p.plant_id""",
 )
 def _(t):
-    plants = t.plant_fx.filter("plant_monitored = 'Sim'").select("plant_id", "gen_type", "market")
+    plants = t.plant_fx.select("plant_id", "gen_type", "market")
     return t.reg_unit_fx.select("plant_id", "unit_no").join(plants, "plant_id", "left")
 
 
@@ -251,12 +238,12 @@ def _(t):
     "full_reconcile",
     """SELECT coalesce(u.plant_id, r.plant_id) AS plant_id, coalesce(u.unit_no, r.unit_no) AS unit_no,
         u.plant_id IS NOT NULL AS in_registry, r.plant_id IS NOT NULL AS in_report
-       FROM (SELECT * FROM reg_unit_fx WHERE unit_monitored = 'Sim') u FULL JOIN unit_report_fx r
+       FROM reg_unit_fx u FULL JOIN unit_report_fx r
         ON u.plant_id = r.plant_id AND u.unit_no = r.unit_no""",
 )
 def _(t):
     key = ["plant_id", "unit_no"]
-    registry = t.reg_unit_fx.filter("unit_monitored = 'Sim'").select(*key)
+    registry = t.reg_unit_fx.select(*key)
     return joins.reconcile(
         registry, t.unit_report_fx.select(*key), key, "in_registry", "in_report"
     )
@@ -331,13 +318,12 @@ def _(t):
 @query(
     "dictionary_lookup",
     """SELECT r.plant_id, r.reviewer, e.contract_status FROM review_fx r LEFT JOIN
-        (SELECT plant_id, arg_max(contract_status, event_id) AS contract_status FROM submission_fx
-         WHERE contract_status IS NOT NULL GROUP BY plant_id) e ON r.plant_id = e.plant_id""",
+        (SELECT plant_id, contract_status FROM (SELECT *, row_number() OVER (PARTITION BY plant_id ORDER BY event_id DESC) AS rn
+         FROM submission_fx) WHERE rn = 1) e ON r.plant_id = e.plant_id""",
 )
 def _(t):
-    entries = t.submission_fx.filter("contract_status IS NOT NULL")
     rows = t.review_fx.select("plant_id", "reviewer")
-    return joins.lookup(rows, entries, "plant_id", "contract_status", "event_id")
+    return joins.lookup(rows, t.submission_fx, "plant_id", "contract_status", "event_id")
 
 
 @query(

@@ -129,8 +129,8 @@ def _(t):
 def _other(t):
     """The registry as another system tells it: escaped texts, shifted dates, gaps."""
     coded = F.replace(F.col("works_status"), F.lit(" "), F.lit("_x0020_"))
-    return t.plant_fx.filter("plant_monitored IS NOT NULL").select(
-        "plant_id",
+    return t.plant_fx.select(
+        F.when(F.col("plant_monitored").isNotNull(), F.col("plant_id")).otherwise(-F.col("plant_id")).alias("plant_id"),
         F.when(F.col("market") == "ACR", 1.0).otherwise(2.0).alias("criterion_pmo"),
         coded.alias("criterion_text"),
         F.when(F.col("start_date").isNull(), "OUT").otherwise("IO").alias("phase"),
@@ -152,7 +152,9 @@ def _ours(t):
     "forecast_differences",
     """SELECT p.plant_id, CASE WHEN concrete_date IS NULL THEN 'OUT' ELSE 'IO' END AS phase_ours,
         CASE WHEN p.plant_monitored IS NOT NULL THEN CASE WHEN start_date IS NULL THEN 'OUT' ELSE 'IO' END END AS phase_theirs,
-        CASE WHEN p.plant_monitored IS NOT NULL THEN CAST(planned_start - granted_start AS DOUBLE) END AS diff_days FROM plant_fx p""",
+        CASE WHEN p.plant_monitored IS NOT NULL THEN CAST(planned_start - granted_start AS DOUBLE) END AS diff_days FROM plant_fx p
+       UNION ALL SELECT -plant_id, NULL, CASE WHEN start_date IS NULL THEN 'OUT' ELSE 'IO' END, NULL
+       FROM plant_fx WHERE plant_monitored IS NULL""",
 )
 def _(t):
     rows = dg.forecast_differences(_ours(t), _other(t), ["plant_id"])
@@ -166,7 +168,9 @@ def _(t):
         works_status AS criterion_text_ours, CASE WHEN plant_monitored IS NOT NULL THEN works_status END AS criterion_text_theirs,
         coalesce(criterion_pmo_ours <> criterion_pmo_theirs, true) AS criterion_pmo_differs,
         coalesce(criterion_text_ours <> criterion_text_theirs, true) AS criterion_text_differs FROM plant_fx)
-       WHERE criterion_pmo_differs OR criterion_text_differs""",
+       WHERE criterion_pmo_differs OR criterion_text_differs
+       UNION ALL SELECT -plant_id, NULL, CASE WHEN market = 'ACR' THEN 1.0 ELSE 2.0 END, NULL, works_status, true, true
+       FROM plant_fx WHERE plant_monitored IS NULL""",
 )
 def _(t):
     columns = ["criterion_pmo", "criterion_text"]

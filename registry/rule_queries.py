@@ -106,7 +106,7 @@ steps(
     ru_units=f"""SELECT *, CASE WHEN NOT manual_date THEN raw_date END AS official_date,
  CASE WHEN manual_date THEN 'Análise do Fiscal' WHEN raw_date = {_EXTRA} + INTERVAL 60 DAY THEN '60 dias'
   WHEN raw_date = expected_commercial THEN 'Previsão do agente' WHEN raw_date = obligation_date THEN 'Obrigação'
-  WHEN raw_date = forecast THEN 'Previsor' ELSE 'Handicap' END AS official_source,
+  WHEN raw_date = forecast THEN 'Data calculada' ELSE 'Handicap' END AS official_source,
  CASE phase WHEN 'OUT' THEN 0 WHEN 'IO' THEN 1 WHEN 'CC' THEN 2 WHEN 'ME' THEN 3 WHEN 'OT' THEN 4 END AS phase_rank FROM ru_manual""",
     rv_lead="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plant_id ORDER BY phase_rank DESC, unit_no, official_date NULLS FIRST, official_source) AS rn
  FROM ru_units WHERE phase_rank IS NOT NULL) WHERE rn = 1""",
