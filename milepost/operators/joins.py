@@ -17,12 +17,20 @@ def _matching(left: DataFrame, right: DataFrame, keys: list[str]):
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL."""
+    """Equi-join on ``keys`` where NULL matches NULL.
+
+    A full join is a left join and the rows of the right side without a partner: both can
+    be split where a key is hot, which a full outer join cannot.
+    """
+    if how in ("full", "outer"):
+        alone = null_safe_join(right, left.select(*keys), keys, "left_anti")
+        joined = null_safe_join(left, right, keys, "left")
+        return joined.unionByName(alone, allowMissingColumns=True)
     renamed, cond, extra = _matching(left, right, keys)
     joined = left.join(renamed, cond, how)
     if how in ("left_semi", "left_anti"):
         return joined
-    if how in ("full", "right", "outer"):
+    if how == "right":
         joined = joined.withColumns({k: F.coalesce(left[k], F.col(f"_r_{k}")) for k in keys})
     return joined.drop(*extra)
 
@@ -38,7 +46,7 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 def reconcile(
     a: DataFrame, b: DataFrame, keys: list[str], in_a: str = "in_a", in_b: str = "in_b"
 ) -> DataFrame:
-    """Full outer join that tells on which side each row was found."""
+    """Rows of both sides, matched where they can be, with the sides each was found on."""
     joined = null_safe_join(
         a.withColumn(in_a, F.lit(True)), b.withColumn(in_b, F.lit(True)), keys, "full"
     )

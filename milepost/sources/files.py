@@ -91,7 +91,7 @@ def parse_ids(lines: DataFrame, text: str = "value", out: str = "plant_id") -> D
 
 def unreadable_ids(lines: DataFrame, text: str = "value") -> DataFrame:
     """Entries of a comma-separated text that are neither blank nor a number."""
-    tokens = lines.select(F.trim(F.explode(F.split(F.col(text), ","))).alias("token"))
+    tokens = lines.select(F.explode(F.split(F.col(text), ",")).alias("t")).select(F.trim("t").alias("token"))
     return tokens.filter((F.col("token") != "") & F.col("token").try_cast("bigint").isNull()).distinct()
 
 

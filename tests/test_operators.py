@@ -9,6 +9,7 @@ from milepost.operators import aggregates as agg
 from milepost.operators import joins, mapping, pick, setops
 from milepost.plans import diagnostics as dg
 from milepost.session import SmallTable, scratch_dir, staged
+from milepost.sources import files
 
 
 def rows(df, *cols):
@@ -116,6 +117,32 @@ def test_rows_without_a_key_are_kept_when_ids_are_split(spark):
     assert sorted(r.unit_key for r in out.filter("k = 7").collect()) == ["7_0", "7_1"]
 
 
+def test_full_joins_are_split_and_complete(spark):
+    a = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "k long, x string")
+    b = spark.createDataFrame([(1, "p"), (1, "q"), (None, "r"), (4, "s")], "k long, y string")
+    full = joins.null_safe_join(a, b, ["k"], "full")
+    found = {(r.k, r.x, r.y) for r in full.collect()}
+    assert found == {(1, "a", "p"), (1, "a", "q"), (None, "b", "r"), (3, "c", None), (4, None, "s")}
+    assert "FullOuter" not in plan(full)
+    sides = {(r.k, r.in_a, r.in_b) for r in joins.reconcile(a, b, ["k"]).collect()}
+    assert sides == {(1, True, True), (None, True, True), (3, True, False), (4, False, True)}
+
+
+def test_unreadable_ids_are_told(spark):
+    lines = spark.createDataFrame([("12, x7,",), (" 13,x7",)], "value string")
+    assert sorted(r.plant_id for r in files.parse_ids(lines).collect()) == [12, 13]
+    assert [r.token for r in files.unreadable_ids(lines).collect()] == ["x7"]
+
+
+def test_files_of_one_name_keep_their_own_copies(spark, tmp_path):
+    for folder, value in (("x", 1), ("y", 2)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "t.csv").write_text(f"id\n{value}\n")
+    paths = [str(tmp_path / f / "t.csv") for f in ("x", "y")]
+    stacked = files.ingest_files(spark, paths, parquet_dir=str(tmp_path / "copies"))
+    assert sorted(int(r.id) for r in stacked.collect()) == [1, 2]
+
+
 def test_stage_tables_use_the_shared_folder(spark):
     df = staged(spark.range(10))
     assert df.count() == 10
