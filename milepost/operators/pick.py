@@ -15,9 +15,11 @@ def pick_row(
 ) -> DataFrame:
     """One whole row per key: the largest (or smallest) ``by``, rows without it ignored.
 
-    Equal rows are settled by the tie columns in the same direction.
+    Equal rows are settled by the tie columns in the same direction, without tie columns by
+    all others, so the choice never depends on the order of arrival.
     """
     rest = [c for c in df.columns if c not in keys]
+    ties = list(ties) or [c for c in rest if c != by]
     choose = F.max_by if largest else F.min_by
     best = choose(F.struct(*rest), F.struct(by, *ties)).alias("_row")
     return df.filter(F.col(by).isNotNull()).groupBy(*keys).agg(best).select(*keys, "_row.*")

@@ -57,13 +57,16 @@ def read_view(
 ) -> DataFrame:
     """A source view with its known columns, from parquet or over JDBC.
 
-    ``partitions`` (lowest id, highest id, number of reads) splits a JDBC read by plant.
+    ``partitions`` (lowest id, highest id, number of reads) splits a JDBC read by plant; a
+    view with plants is not read over JDBC without it, as one task would read it whole.
     """
     columns = VIEWS[name]
     if jdbc is None:
         return spark.read.parquet(f"{location}/{name}").select(*columns)
+    if KEY in columns and partitions is None:
+        raise ValueError(f"{name}: give partitions to read it over JDBC")
     reader = spark.read.format("jdbc").options(**jdbc).option("dbtable", name)
-    if partitions and KEY in columns:
+    if KEY in columns:
         low, high, count = partitions
         reader = (
             reader.option("partitionColumn", KEY)

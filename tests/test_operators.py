@@ -128,6 +128,13 @@ def test_full_joins_are_split_and_complete(spark):
     assert sides == {(1, True, True), (None, True, True), (3, True, False), (4, False, True)}
 
 
+def test_equal_rows_are_settled_without_tie_columns(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "c"), (1, 5, "b"), (2, 1, None)], "k int, t int, v string")
+    for parts in (1, 3):
+        best = pick.pick_row(df.repartition(parts), ["k"], "t")
+        assert {(r.k, r.v) for r in best.collect()} == {(1, "c"), (2, None)}
+
+
 def test_unreadable_ids_are_told(spark):
     lines = spark.createDataFrame([("12, x7,",), (" 13,x7",)], "value string")
     assert sorted(r.plant_id for r in files.parse_ids(lines).collect()) == [12, 13]
