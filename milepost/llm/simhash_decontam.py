@@ -40,8 +40,8 @@ SIMILARITY = 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 23
 SLICE_ITEMS, SLICE_BYTES = 2_000, 16_000_000
 FILTER_BITS = 22
-KEPT_WORDS = 1_000_000
-PART_BYTES = 4_000_000
+KEPT_WORDS = 200_000
+PART_BYTES = 1_000_000
 WORDS = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
