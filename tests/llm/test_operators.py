@@ -424,6 +424,49 @@ def test_near_duplicates_edges(spark, odd_texts):
     assert icws_dedup.near_duplicates(empty(spark)).count() == 0
 
 
+def tailed_texts(rng):
+    """Copies of a core with tail X or Y, no X-copy 0.8 alike to a Y-copy, and two with shortened tails that are."""
+    core, x, y = words(rng, 300).split(), words(rng, 48).split(), words(rng, 48).split()
+    texts = []
+    for tail in (x, y):
+        for k in range(12):
+            own = core + tail
+            own[-1 - k % 3] = "".join(rng.choice(list("klmnop"), 7))
+            texts.append(" ".join(own))
+    return [*texts, " ".join(core + x[:28]), " ".join(core + y[:28])]
+
+
+def weighted_pairs(texts, of):
+    """All pairs at or over the threshold among the texts at places ``of``, by exact weights."""
+    found = collections.Counter(w for t in texts for w in set(t.split()))
+    idf = {w: np.log((len(texts) + 1) / (n + 1)) + 1 for w, n in found.items()}
+    sets = []
+    for i in of:
+        w = texts[i].split()
+        grams = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        sets.append({g: n * sum(idf[x] for x in g) / 5 for g, n in grams.items()})
+    total = [sum(s.values()) for s in sets]
+    for p, a in enumerate(sets):
+        for q in range(p):
+            common = sum(min(v, sets[q].get(g, 0)) for g, v in a.items())
+            if common >= 0.8 * (total[p] + total[q] - common):
+                yield of[q], of[p]
+
+
+def test_links_between_components_of_two_leads(spark):
+    rng, texts, want = np.random.default_rng(21), [], []
+    for _ in range(30):
+        texts += tailed_texts(rng)
+    for first in range(0, len(texts), 26):
+        pairs = list(weighted_pairs(texts, range(first, first + 26)))
+        x, y = {*range(first, first + 12), first + 24}, {*range(first + 12, first + 24), first + 25}
+        assert [p for p in pairs if (p[0] in x) != (p[1] in x)] == [(first + 24, first + 25)]
+        assert all({p for p in pairs if s >= set(p)} for s in (x, y))
+        want += [first] * 26
+    rows = icws_dedup.near_duplicates(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.class_id for r in rows] == want
+
+
 def test_samples_agree_as_often_as_texts():
     rng = np.random.default_rng(15)
     hashes = rng.integers(0, 2**63, 600, dtype=np.uint64)
