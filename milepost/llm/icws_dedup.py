@@ -42,7 +42,6 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 SAMPLES = BANDS * ROWS
 BUCKET_BITS = 16
-TABLE_BITS = 12
 PLANES = 3
 SKETCH_SLACK = 30
 # Shingles that a task remembers while it verifies pairs.
@@ -51,7 +50,7 @@ STARS = 2
 # Texts that are compared with all of their keys get so many samples, and four bits of each.
 FINE_SAMPLES, FINE_PLANES, FINE_SLACK = 512, 4, 134
 PART_BYTES = 1_000_000
-BLOCK = 4096
+BLOCK = 1024
 # Keys of texts to fetch are broadcast up to this number (16 bytes each), joined by shuffle beyond.
 BROADCAST_KEYS = 500_000
 _BASE = 0x9E3779B97F4A7C15
@@ -62,13 +61,11 @@ _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 _rng = np.random.default_rng(11)
 _values = _rng.integers(1, 2**63, 256, dtype=np.uint64)[_lower]
-_shape = (FINE_SAMPLES, 1 << TABLE_BITS)
-_r = _rng.gamma(2, 1, _shape).astype(np.float32)
-_log_c = np.log(_rng.gamma(2, 1, _shape)).astype(np.float32) - _r
-_beta = _rng.random(_shape, dtype=np.float32)
-_inverse = 1 / _r
+# Quantiles of the gamma law of shape 2 that samples draw from.
+_grid = np.geomspace(1e-4, 40, 1 << 18)
+_gamma = np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), -np.expm1(-_grid) - _grid * np.exp(-_grid), _grid)
+_r, _log_c = _gamma.astype(np.float32), np.log(_gamma).astype(np.float32)
 _turns = _rng.integers(1, 2**63, FINE_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_rows = (np.arange(FINE_SAMPLES, dtype=np.int32) << TABLE_BITS)[:, None]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -132,16 +129,23 @@ def shingles(words: np.ndarray, bounds: np.ndarray, idf: np.ndarray) -> Iterator
 
 def samples(hashes: np.ndarray, weights: np.ndarray, n: int = SAMPLES) -> np.ndarray:
     """``n`` 64-bit numbers: two texts agree in one with the probability of their similarity."""
+    # Each sample's mix of the whole hash gives a shingle its own r and c (16 bits each) and beta (32 bits).
     logs = np.log(weights).astype(np.float32)
     best, every = np.full(n, np.inf, np.float32), np.arange(n)
     out = np.zeros(n, np.uint64)
     size = BLOCK * SAMPLES // n
     for a in range(0, len(hashes), size):
         some, lw = hashes[a : a + size], logs[a : a + size]
-        cell = ((_turns[:n, None] * some) >> np.uint64(64 - TABLE_BITS)).astype(np.int32) + _rows[:n]
-        beta, r = _beta.ravel()[cell], _r.ravel()[cell]
-        step = np.floor(lw * _inverse.ravel()[cell] + beta)
-        rank = _log_c.ravel()[cell] - r * (step - beta)
+        drawn = _turns[:n, None] * some
+        drawn ^= drawn >> np.uint64(32)
+        drawn *= np.uint64(0x94D049BB133111EB)
+        drawn ^= drawn >> np.uint64(29)
+        bits = drawn.view(np.uint16).reshape(n, -1, 4)
+        r, rank = _r.take(bits[..., 3]), _log_c.take(bits[..., 2])
+        beta = drawn.view(np.uint32)[:, ::2].astype(np.float32) * np.float32(2**-32)
+        step = np.floor(lw / r + beta)
+        rank -= r
+        rank -= r * (step - beta)
         at = rank.argmin(1)
         lead = rank[every, at]
         better = lead < best

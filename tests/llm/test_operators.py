@@ -482,6 +482,33 @@ def test_samples_agree_as_often_as_texts():
     assert abs(np.mean(agree) - exact) < 0.05
 
 
+@pytest.mark.parametrize("n", [20_000, 400_000])
+def test_samples_of_long_texts_edited_with_rare_words(n):
+    rng = np.random.default_rng(22)
+    vocabulary = np.array(words(rng, 2_000).split())
+    rank = np.minimum(rng.zipf(1.3, n), 2_000) - 1
+    own = vocabulary[rank].tolist()
+    # A serial number in every second word keeps shingles apart, as in prose.
+    own[::2] = [f"{w}{i % 997}" for i, w in enumerate(own[::2])]
+    other = list(own)
+    for i in rng.choice(n, n // 90, replace=False).tolist():
+        other[i] = f"rare{i}"
+    of = icws_dedup.Words().of
+    idf = np.full(1 << icws_dedup.BUCKET_BITS, 2.0)
+    rare = np.frombuffer(" ".join(w for w in other if w.startswith("rare")).encode(), np.uint8)
+    idf[(of(rare, np.array([0, len(rare)]))[0] >> np.uint64(64 - icws_dedup.BUCKET_BITS)).astype(np.int64)] = 9.0
+    found = []
+    for text in (own, other):
+        flat = np.frombuffer(" ".join(text).encode(), np.uint8)
+        found.append(next(icws_dedup.shingles(*of(flat, np.array([0, len(flat)])), idf)))
+    (h, v), (g, w) = found
+    _, p, q = np.intersect1d(h, g, assume_unique=True, return_indices=True)
+    common = np.minimum(v[p], w[q]).sum()
+    exact = common / (v.sum() + w.sum() - common)
+    agree = (icws_dedup.samples(h, v, 512) == icws_dedup.samples(g, w, 512)).mean()
+    assert exact > 0.8 and abs(agree - exact) < 0.07
+
+
 def test_components_of_chains_and_stars(spark):
     rng = np.random.default_rng(16)
     nodes = [int(x).to_bytes(2, "big") for x in rng.permutation(300)]
