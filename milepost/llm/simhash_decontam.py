@@ -2,7 +2,8 @@
 multi-index of Hamming blocks, candidates verified by exact weighted-shingle similarity.
 
 Words are runs of letters, digits and marks in lower case, shingles are ``SHINGLE`` words in
-a row, a shingle's weight is its count. A window has as many words as the item it may match.
+a row, a shingle's weight is its count. A window has as many words as the item it may match;
+a text of fewer words is one window as a whole.
 Weighted similarity is the sum of the lesser counts over the sum of the greater ones.
 
 1. A window of m shingles can only reach the threshold s if s * m of its shingles occur in
@@ -125,21 +126,22 @@ class Index:
             found[at] = self.known[place] == shingles[at]
         return found
 
-    def windows(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per item length: that length, starts of windows that may match, and all shingles."""
+    def windows(self, words: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Per item length: that length, shingles of a window, starts of windows that may match, and all shingles."""
         usual = shingle_hashes(words) if len(words) >= SHINGLE else words[:0]
         usual_hits = self.hits(usual) if len(usual) else np.zeros(0, bool)
         sums = np.concatenate([[0], np.cumsum(usual_hits)])
         for n in self.lengths:
-            if n > len(words):
-                break
+            least = SIMILARITY * (n - SHINGLE + 1) - 1e-9
+            if n > len(words) and (not len(usual) or len(usual) < least):
+                break  # longer items have still more shingles
             if n < SHINGLE:
                 own = shingle_hashes(words, n)
-                yield n, np.flatnonzero(self.hits(own)), own
+                yield n, 1, np.flatnonzero(self.hits(own)), own
             elif sums[-1]:
-                m = n - SHINGLE + 1
+                m = min(n - SHINGLE + 1, len(usual))
                 inside = sums[m:] - sums[: len(sums) - m]
-                yield n, np.flatnonzero(inside >= SIMILARITY * m - 1e-9), usual
+                yield n, m, np.flatnonzero(inside >= least), usual
 
     def promising(self, texts: list[np.ndarray]) -> np.ndarray:
         """Which texts hold any shingle of an item; all of them if an item is below a shingle."""
@@ -163,8 +165,7 @@ class Index:
     def matches(self, words: np.ndarray) -> list[tuple]:
         """(item, similarity, first word, last word) of the best window of each item found."""
         best: dict = {}
-        for n, starts, shingles in self.windows(words):
-            m = max(1, n - SHINGLE + 1)
+        for n, m, starts, shingles in self.windows(words):
             for some in np.array_split(starts, max(1, len(starts) * 64 // 1_000_000)) if len(starts) else ():
                 low = int(some[0])
                 sums = np.zeros((int(some[-1]) + m - low + 1, BITS), np.int32)
@@ -179,7 +180,7 @@ class Index:
                 for start, i in zip(some[window[close]].tolist(), item[close].tolist(), strict=True):
                     value = self.similarity(i, shingles[start : start + m].tolist())
                     if value >= SIMILARITY and (i not in best or value > best[i][0]):
-                        best[i] = (value, start, start + n)
+                        best[i] = (value, start, min(start + n, len(words)))
         return [(self.items[i][0], *found) for i, found in sorted(best.items())]
 
 

@@ -603,6 +603,35 @@ def test_leaks_as_by_hand(spark, monkeypatch):
     assert simhash_decontam.find(docs, benchmark.limit(0)).count() == 0
 
 
+def shorter_by_hand(texts, items):
+    """Matches of whole texts with items of more words."""
+    out, split = set(), lambda t: re.findall(r"\w+", (t or "").lower())
+    grams = lambda w, size: collections.Counter(tuple(w[k : k + size]) for k in range(len(w) - size + 1))
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            w, v = split(text), split(item)
+            if len(w) < len(v):
+                have, seen = grams(v, min(5, len(v))), grams(w, min(5, len(v)))
+                if sum((have & seen).values()) >= 0.8 * sum((have | seen).values()):
+                    out.add((d, i))
+    return out
+
+
+def test_texts_shorter_than_items(spark):
+    rng = np.random.default_rng(23)
+    items = [words(rng, int(n)) for n in [5, 6, 7, 9, 10, *rng.integers(15, 90, 25)]] + ["one two three", "again " * 20, None]
+    texts = [None, "", "one two", "again " * 19, "again " * 12]
+    for item in items[:30]:
+        own = item.split()
+        texts += [" ".join(own[a : len(own) - b]) for a, b in ((0, 1), (1, 0), (1, 1), (2, 3), (0, len(own) // 6), (0, len(own) // 3))]
+        texts.append(" ".join([*own[: len(own) // 2], "changed", *own[len(own) // 2 + 1 : -1]]))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    short = shorter_by_hand(texts, items)
+    rows = simhash_decontam.find(docs_of(spark, texts), benchmark).collect()
+    assert len(short) > 60 and {(r.key, r.item) for r in rows} == short | matches_by_hand(texts, items)
+    assert all(r.end_word <= len(texts[r.key].split()) for r in rows)
+
+
 def test_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(20)
     index = simhash_decontam.Index([(i, words(rng, 30)) for i in range(40)])
