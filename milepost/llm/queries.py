@@ -10,6 +10,7 @@ from milepost.llm import (
     byte_bpe,
     icws_dedup,
     lpf_dedup,
+    merkle,
     quality_cnn,
     quality_rules,
     secret_scan,
@@ -173,3 +174,75 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", *categories, F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted")
     )
+
+
+_LEAF = """sha256(concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+             coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+             coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'), coalesce(strlen({text}) || ':' || {text}, '-')))"""
+
+
+@query(
+    "op13_merkle_manifest",
+    f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, source, {_LEAF.format(text="text")} AS leaf,
+             CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+                 range(1, length(doc_id::VARCHAR) + 1),
+                 lambda i: list_transform(range(8), lambda j: (ascii(substr(doc_id::VARCHAR, i, 1)) >> j::INT) & 1)))),
+                 lambda c, b: xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 2 = 0
+               THEN {_LEAF.format(text="replace(text, chr(10), '')")} END AS other
+      FROM documents),
+    low AS (
+      SELECT 0 AS level, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+             count(*) OVER (PARTITION BY source) AS n, leaf AS h FROM d
+      UNION ALL
+      SELECT level + 1, source, pos // 3, (n + 2) // 3, h
+      FROM (SELECT level, source, n, pos // 3 * 3 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+            FROM low WHERE n > 1 GROUP BY level, source, n, low.pos // 3)),
+    subroots AS (SELECT source, h AS subroot FROM low WHERE n = 1),
+    high AS (
+      SELECT 0 AS level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, subroot AS h
+      FROM subroots
+      UNION ALL
+      SELECT level + 1, pos // 3, (n + 2) // 3, h
+      FROM (SELECT level, n, pos // 3 * 3 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+            FROM high WHERE n > 1 GROUP BY level, n, high.pos // 3)),
+    tops AS (SELECT row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS top, source, subroot FROM subroots),
+    places AS (
+      SELECT doc_id, d.source, leaf, other, top, subroot,
+             row_number() OVER (PARTITION BY d.source ORDER BY doc_id) - 1 AS pos
+      FROM d JOIN tops ON d.source IS NOT DISTINCT FROM tops.source),
+    runs AS (SELECT level, source, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM low WHERE n > 1 GROUP BY ALL),
+    top_runs AS (SELECT level, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM high WHERE n > 1 GROUP BY ALL),
+    sides AS (
+      SELECT doc_id, level, hs, (pos // (3 ** level)::BIGINT) % 3 AS own
+      FROM places p JOIN runs r ON r.source IS NOT DISTINCT FROM p.source AND run = pos // (3 ** (level + 1))::BIGINT
+      UNION ALL
+      SELECT doc_id, 100 + level, hs, (top // (3 ** level)::BIGINT) % 3
+      FROM places JOIN top_runs ON run = top // (3 ** (level + 1))::BIGINT),
+    paths AS (
+      SELECT doc_id, list(array_to_string(hs[:own], '') || '|' || array_to_string(hs[own + 2:], '') ORDER BY level) AS path
+      FROM sides GROUP BY doc_id),
+    ends AS (
+      SELECT doc_id, leaf, subroot, coalesce(path, []) AS path,
+             list_reduce(list_prepend(coalesce(other, leaf), coalesce(path, [])),
+               lambda up, s: sha256(split_part(s, '|', 1) || up || split_part(s, '|', 2))) AS folded_root
+      FROM places LEFT JOIN paths USING (doc_id))
+    SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+           folded_root, folded_root = root AS verified
+    FROM ends, (SELECT h AS root FROM high WHERE n = 1)
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    flat = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    later = merkle.leaf_of(*(F.col(c) for c in fields[:-1]), flat)
+    rows = merkle.manifest(table(spark, folder, "documents"), fields, carry={"later": later})
+    rows = rows.withColumn("end", merkle.folded(F.col("later"), F.col("path")))
+    digests = {"leaf": "leaf", "subroot": "subroot", "root": "root", "folded_root": "end"}
+    return rows.select(
+        "doc_id",
+        *(merkle.text_of(F.col(c)).alias(name) for name, c in digests.items()),
+        F.sha2(merkle.siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        (F.col("end") == F.col("root")).alias("verified"),
+    )
