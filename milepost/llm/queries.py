@@ -16,6 +16,7 @@ from milepost.llm import (
     secret_scan,
     sharding,
     simhash_decontam,
+    spelling,
     toxicity,
     warc,
 )
@@ -176,6 +177,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Unsigned crc32, bit by bit, with the reversed polynomial.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      range(1, 2 * octet_length({bytes}), 2), lambda i: list_transform(range(8), lambda j:
+        (('0x' || substr(hex({bytes}), i, 2))::INT >> j::INT) & 1)))),
+      lambda c, b: xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
 _LEAF = """sha256(concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
              coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
              coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'), coalesce(strlen({text}) || ':' || {text}, '-')))"""
@@ -186,10 +192,7 @@ _LEAF = """sha256(concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_i
     f"""
     WITH RECURSIVE d AS (
       SELECT doc_id, source, {_LEAF.format(text="text")} AS leaf,
-             CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
-                 range(1, length(doc_id::VARCHAR) + 1),
-                 lambda i: list_transform(range(8), lambda j: (ascii(substr(doc_id::VARCHAR, i, 1)) >> j::INT) & 1)))),
-                 lambda c, b: xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 2 = 0
+             CASE WHEN {_CRC.format(bytes="encode(doc_id::VARCHAR)")} % 2 = 0
                THEN {_LEAF.format(text="replace(text, chr(10), '')")} END AS other
       FROM documents),
     low AS (
@@ -246,3 +249,47 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(merkle.siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
         (F.col("end") == F.col("root")).alias("verified"),
     )
+
+
+@query(
+    "op12_spelling_variants",
+    f"""
+    WITH RECURSIVE raw AS (
+      SELECT coalesce(doc_id::VARCHAR, '') AS key, count(*) AS n,
+             translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+      GROUP BY ALL),
+    hashed AS (SELECT run, n, {_CRC.format(bytes="encode(key || ':' || run)")} AS h FROM raw),
+    words AS MATERIALIZED (
+      SELECT word, sum(n)::BIGINT AS n
+      FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                      ELSE run END AS word FROM hashed)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    cuts AS (
+      SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+      FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+    near AS (
+      SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b USING (i, rest) WHERE a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON b.word = a.rest
+      UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.rest),
+    best AS (
+      SELECT word, count(*) AS n_near, min(near) FILTER (near_n = top) AS form, max(near_n) AS form_n
+      FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+    forms AS (
+      SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form,
+             CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+      FROM words w LEFT JOIN best USING (word)),
+    walk AS (
+      SELECT word, word AS root, form AS next FROM forms
+      UNION ALL
+      SELECT walk.word, walk.next, forms.form FROM walk JOIN forms ON forms.word = walk.next)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN walk USING (word) WHERE next IS NULL
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    run, size = F.col("run"), F.char_length("run")
+    h = F.crc32(F.concat("key", F.lit(":"), run))
+    at = (h % size).cast("int")
+    cut = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, size))
+    words = spelling.vocabulary(table(spark, folder, "documents"), spoil=F.when(h % 97 == 0, cut).otherwise(run))
+    return spelling.variants(words)
