@@ -14,6 +14,7 @@ from milepost.llm import (
     quality_cnn,
     quality_rules,
     secret_scan,
+    seed_extend,
     sharding,
     simhash_decontam,
     spelling,
@@ -293,3 +294,27 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     cut = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, size))
     words = spelling.vocabulary(table(spark, folder, "documents"), spoil=F.when(h % 97 == 0, cut).otherwise(run))
     return spelling.variants(words)
+
+
+@query(
+    "op11_seed_extend",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+      SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+    firsts AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h),
+    lost AS (
+      SELECT doc_id, i FROM windows JOIN firsts USING (h) WHERE first < doc_id),
+    gone AS (SELECT DISTINCT doc_id, i + j AS place FROM lost, range(50) r(j)),
+    left_over AS (
+      SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d) ANTI JOIN gone USING (doc_id, place)
+      GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN left_over USING (doc_id)
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    cut = seed_extend.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
