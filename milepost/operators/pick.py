@@ -4,10 +4,9 @@ owns a large share of the rows never lands whole in one task."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SEQUENCE_BUCKETS_HEX = 2  # 16 ** 2 sub-groups per key
+from milepost.operators.ranks import numbered, unused
 
 
 def pick_row(
@@ -41,40 +40,15 @@ def split_duplicate_ids(
 ) -> DataFrame:
     """Make repeated keys unique among the rows that satisfy ``only``: ``12_0``, ``12_1``…
 
-    Other rows keep their key and are not shuffled. Rows of one key are numbered inside
-    hash sub-groups and shifted by the sizes of the earlier sub-groups, so no window
-    spans a whole hot key.
+    Rows of one key are numbered in the given order by partition offsets, so no task sees a
+    whole hot key. A key that other rows carry as well counts as repeated even if it is chosen
+    only once. Other rows keep their key; rows without a key stay, without one.
     """
-    marked = df.withColumn("_only", F.coalesce(only, F.lit(False)))
-    plain = marked.filter(~F.col("_only")).drop("_only")
-    row_text = F.concat_ws("|", *[F.col(c).cast("string") for c in order])
-    cell = F.substring(F.md5(row_text), 1, SEQUENCE_BUCKETS_HEX)
-    chosen = marked.filter("_only").drop("_only").withColumn("_cell", cell)
-
-    cells = chosen.groupBy(key, "_cell").agg(F.count("*").alias("_n"))
-    # A key that other rows carry as well is repeated even if it is chosen only once.
-    shared = plain.groupBy(key).agg(F.lit(1).alias("_shared"))
-    # At most 256 rows per key reach these windows, whatever the key holds.
-    per_key = W.partitionBy(key)
-    before = per_key.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        cells.join(shared, key, "left")
-        .select(
-            key,
-            "_cell",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            (F.sum("_n").over(per_key) + F.coalesce("_shared", F.lit(0)) > 1).alias("_repeated"),
-        )
-    )
-    in_cell = W.partitionBy(key, "_cell").orderBy(*order)
-    number = F.col("_offset") + F.row_number().over(in_cell) - 1
+    flag, place, size = (unused(df.columns, x) for x in ("_only", "_place", "_size"))
+    chosen = F.coalesce(only, F.lit(False)) & F.col(key).isNotNull()
+    ranked = numbered(df.withColumn(flag, chosen), [key], list(order), place, size, only=flag)
     id_text = F.col(key).cast("string")
     renamed = F.when(
-        F.col("_repeated"), F.concat_ws("_", id_text, number.cast("string"))
+        F.col(flag) & (F.col(size) > 1), F.concat_ws("_", id_text, F.col(place).cast("string"))
     ).otherwise(id_text)
-    # Rows without a key stay, without a number; only known keys need the join.
-    known = chosen.filter(F.col(key).isNotNull()).join(offsets.filter(F.col(key).isNotNull()), [key, "_cell"])
-    numbered = known.withColumn(out, renamed)
-    unknown = chosen.filter(F.col(key).isNull()).withColumn(out, id_text).select(*df.columns, out)
-    numbered = numbered.select(*df.columns, out).unionByName(unknown)
-    return plain.withColumn(out, id_text).unionByName(numbered.select(*df.columns, out))
+    return ranked.withColumn(out, renamed).select(*df.columns, out)

@@ -7,6 +7,7 @@ are joined back through ``SmallTable``; only plant-sized data is ever shuffled.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from milepost.functions.dates import add_days, day, days_between
 from milepost.functions.rules import any_of, holds
-from milepost.functions.stats import jarque_bera, outside, pearson
+from milepost.functions.stats import jarque_bera, order_score, outside, pearson, w_parts, w_test
 from milepost.operators.pick import pick_row, split_duplicate_ids
+from milepost.operators.ranks import numbered
 from milepost.plans.model import ALL_MARKETS, LEVELS, PHASES, SEGMENT, SPLIT_TYPE, TRIM_Z
 from milepost.session import SmallTable
 
@@ -280,7 +282,8 @@ def histogram(rows: DataFrame, keys: list[str], col: str, bins: int = 30) -> Dat
     )
     share = F.try_divide(F.col(col) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     # A constant group is drawn one unit wide around its value, which is then bin bins/2.
-    slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * bins), F.lit(bins - 1)))
+    # Rounded first: float noise must not move a value to the next bin.
+    slot = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(F.round(share * bins, 9)), F.lit(bins - 1)))
     place = F.coalesce(slot, F.lit(bins // 2)).cast("int")
     return (
         limits.join(rows.filter(F.col(col).isNotNull()), keys)
@@ -290,17 +293,31 @@ def histogram(rows: DataFrame, keys: list[str], col: str, bins: int = 30) -> Dat
 
 
 def normality(rows: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """Jarque-Bera test per group: statistic and the chance of a larger one.
-
-    Chosen because it needs only mergeable moments; it takes the place of an order
-    statistic test that would need each group sorted in one place.
-    """
+    """Jarque-Bera test per group: statistic and the chance of a larger one, from moments alone."""
     stats = rows.groupBy(*keys).agg(
         F.count(col).alias("n"), jarque_bera(F.col(col)).alias("jb")
     )
     return stats.withColumn("p_value", F.exp(-F.col("jb") / 2))
 
 
+def normality_by_order(rows: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Shapiro-Wilk test per group for each column: rows, W and the chance of a smaller W.
+
+    Rows are ranked by partition offsets, and with its rank a row adds its part to mergeable
+    sums, so no group is sorted or gathered in one task. Unknown values are left out; a group
+    of less than three known values, or of equal ones, has neither W nor a chance.
+    """
+    tested = []
+    for col in cols:
+        known = rows.select(*keys, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+        ranked = numbered(known, keys, ["_x"], "_place", "_size")
+        ranked = ranked.withColumn("_score", order_score(F.col("_place"), F.col("_size")))
+        sums = w_parts(*[F.col(c) for c in ("_x", "_place", "_size", "_score")])
+        parts = ranked.groupBy(*keys).agg(*[c.alias(name) for name, c in sums.items()])
+        tested.append(w_test(parts, keys).withColumn("variable", F.lit(col)))
+    return reduce(lambda a, b: a.unionByName(b), tested)
+
+
 def correlations(fit: DataFrame, level: str = ALL_MARKETS) -> DataFrame:
     """Correlation in percent, generation types by phases."""
     return (

@@ -32,9 +32,7 @@ _REASON = " || ".join(
     f"CASE WHEN coalesce(days_{a} < days_{b}, false) THEN '{b}>{a},' ELSE '' END" for a, b in _PAIRS
 )
 _KEY = """CASE WHEN gen_type = 'UHE' AND count(*) OVER (PARTITION BY plant_id) > 1
- THEN concat(CAST(plant_id AS STRING), '_', CAST(row_number() OVER (PARTITION BY plant_id, gen_type = 'UHE'
-  ORDER BY substr(md5(concat_ws('|', CAST(commercial_date AS STRING), CAST(unit_no AS STRING), CAST(ep AS STRING))), 1, 2),
-   commercial_date, unit_no, ep) - 1 AS STRING)) ELSE CAST(plant_id AS STRING) END AS unit_key"""
+ THEN concat(CAST(plant_id AS STRING), '_', CAST(row_number() OVER (PARTITION BY plant_id, gen_type = 'UHE' ORDER BY commercial_date, unit_no, ep) - 1 AS STRING)) ELSE CAST(plant_id AS STRING) END AS unit_key"""
 _OBS = " UNION ALL ".join(
     f"""SELECT unit_key, gen_type, market, obligation_date, commercial_date, delay, is_train, '{p}' AS phase,
  {m} AS milestone_date, days_{p} AS days FROM history_tagged"""
@@ -255,6 +253,92 @@ def _(t):
     return rounded(rounded(rows, 3, "jb"), 4, "p_value")
 
 
+def _horner(coefficients: str, x: str) -> str:
+    """SQL of a polynomial whose coefficients rise in power."""
+    text = "0.0"
+    for c in reversed(coefficients.split()):
+        text = f"({text} * {x} + {c}::DOUBLE)"
+    return text
+
+
+def _probit(p: str) -> str:
+    """SQL of the inverse normal distribution in the middle and at the sides (AS 241)."""
+    middle = (
+        "3.3871328727963666080e0 1.3314166789178437745e2 1.9715909503065514427e3 1.3731693765509461125e4"
+        " 4.5921953931549871457e4 6.7265770927008700853e4 3.3430575583588128105e4 2.5090809287301226727e3",
+        "1 4.2313330701600911252e1 6.8718700749205790830e2 5.3941960214247511077e3"
+        " 2.1213794301586595867e4 3.9307895800092710610e4 2.8729085735721942674e4 5.2264952788528545610e3",
+    )
+    side = (
+        "1.42343711074968357734e0 4.63033784615654529590e0 5.76949722146069140550e0 3.64784832476320460504e0"
+        " 1.27045825245236838258e0 2.41780725177450611770e-1 2.27238449892691845833e-2 7.74545014278341407640e-4",
+        "1 2.05319162663775882187e0 1.67638483018380384940e0 6.89767334985100004550e-1"
+        " 1.48103976427480074590e-1 1.51986665636164571966e-2 5.47593808499534494600e-4 1.05075007164441684324e-9",
+    )
+    q, r = f"({p} - 0.5)", f"(sqrt(-ln(least({p}, 1 - {p}))) - 1.6)"
+    inner, outer = (" / ".join(_horner(c, x) for c in parts) for parts, x in ((middle, f"(0.180625 - {q} * {q})"), (side, r)))
+    return f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {inner} ELSE sign({q}) * {outer} END"
+
+
+# Weights of Royston's W test: the two ends by their polynomials, the others by their scores.
+steps(
+    w_rows="""SELECT gen_type, phase, level, 'delay' AS variable, y AS x FROM fit_pairs
+ UNION ALL SELECT gen_type, phase, level, 'milestone_delay', x FROM fit_pairs""",
+    w_ranked=f"""SELECT *, {_probit('((i - 0.375) / (n + 0.25))')} AS m FROM
+ (SELECT *, row_number() OVER (PARTITION BY gen_type, phase, level, variable ORDER BY x)::DOUBLE AS i,
+  count(*) OVER (PARTITION BY gen_type, phase, level, variable)::DOUBLE AS n FROM w_rows)""",
+    w_ends=f"""SELECT gen_type, phase, level, variable, n, sum(m * m) AS mm, max(m) AS m1, max(m) FILTER (i = n - 1) AS m2,
+ CASE WHEN n = 3 THEN sqrt(0.5) ELSE {_horner('0 0.221157 -0.147981 -2.07119 4.434685 -2.706056', '(1 / sqrt(n))')} + max(m) / sqrt(sum(m * m)) END AS a1,
+ {_horner('0 0.042981 -0.293762 -1.752461 5.682633 -3.582633', '(1 / sqrt(n))')} + max(m) FILTER (i = n - 1) / sqrt(sum(m * m)) AS a2
+ FROM w_ranked WHERE n >= 3 GROUP BY gen_type, phase, level, variable, n""",
+    w_weighted="""SELECT r.*, CASE WHEN i IN (1, r.n) THEN sign(m) * a1 WHEN r.n > 5 AND i IN (2, r.n - 1) THEN sign(m) * a2 WHEN r.n = 3 THEN 0
+ ELSE m / sqrt((mm - 2 * m1 * m1 - CASE WHEN r.n > 5 THEN 2 * m2 * m2 ELSE 0 END) / (1 - 2 * a1 * a1 - CASE WHEN r.n > 5 THEN 2 * a2 * a2 ELSE 0 END)) END AS a
+ FROM w_ranked r JOIN w_ends e USING (gen_type, phase, level, variable)""",
+    w_values="""SELECT gen_type, phase, level, variable, r.n::BIGINT AS n,
+ CASE WHEN max(r.x) > min(r.x) THEN least(pow(sum(a * (r.x - mu)), 2) / sum(pow(r.x - mu, 2)), 1) END AS w FROM w_weighted r
+ JOIN (SELECT gen_type, phase, level, variable, avg(x) AS mu FROM w_rows GROUP BY ALL) USING (gen_type, phase, level, variable)
+ GROUP BY ALL""",
+)
+
+
+@query(
+    "normality_w",
+    """SELECT gen_type, phase, level, variable, count(*) AS n, round(max(w), 6) AS w
+       FROM w_rows LEFT JOIN w_values USING (gen_type, phase, level, variable) GROUP BY ALL""",
+)
+def _(t):
+    rows = training.fit_rows(trained(t).delays).select(*SEGMENT, "delay", "milestone_delay")
+    tests = training.normality_by_order(rows, SEGMENT, ["delay", "milestone_delay"])
+    return tests.select(*SEGMENT, "variable", "n", F.round("w", 6).alias("w"))
+
+
+@query(
+    "normality_verdict",
+    f"""SELECT gen_type, phase, level, variable, CASE WHEN n > 11 THEN ln(1 - w) >
+         {_horner('-1.5861 -0.31082 -0.083751 0.0038915', 'ln(n)')} + 1.6448536 * exp({_horner('-0.4803 -0.082676 0.0030302', 'ln(n)')})
+        ELSE -ln({_horner('-2.273 0.459', 'n')} - ln(1 - w)) >
+         {_horner('0.5440 -0.39978 0.025054 -6.714e-4', 'n')} + 1.6448536 * exp({_horner('1.3822 -0.77857 0.062767 -0.0020322', 'n')}) END AS not_normal
+        FROM w_values WHERE n > 3 AND w IS NOT NULL""",
+)
+def _(t):
+    rows = training.fit_rows(trained(t).delays).select(*SEGMENT, "delay", "milestone_delay")
+    tests = training.normality_by_order(rows, SEGMENT, ["delay", "milestone_delay"])
+    return tests.filter("n > 3 AND w IS NOT NULL").select(
+        *SEGMENT, "variable", (F.col("p_value") < 0.05).alias("not_normal")
+    )
+
+
+@query(
+    "milestone_histogram",
+    """WITH lim AS (SELECT gen_type, phase, min(x) AS lo, max(x) AS hi FROM fit_pairs WHERE level = 'Ambos' GROUP BY gen_type, phase)
+       SELECT p.gen_type, p.phase, CASE WHEN hi > lo THEN CAST(least(floor(round((p.x - lo) / (hi - lo) * 30, 9)), 29) AS INT) ELSE 15 END AS bin,
+        count(*) AS n FROM fit_pairs p JOIN lim ON p.gen_type = lim.gen_type AND p.phase = lim.phase WHERE p.level = 'Ambos' GROUP BY ALL""",
+)
+def _(t):
+    rows = training.fit_rows(trained(t).delays).filter("level = 'Ambos'")
+    return training.histogram(rows, ["gen_type", "phase"], "milestone_delay", 30)
+
+
 @query(
     "correlation_matrix",
     """SELECT gen_type, max(CASE WHEN phase = 'IO' THEN p END) AS "IO", max(CASE WHEN phase = 'CC' THEN p END) AS "CC",

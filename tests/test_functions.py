@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 import re
+import statistics
 
 import pytest
 from hypothesis import given, settings
@@ -10,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from milepost.functions import dates, rules, stats, text
+from milepost.plans import training
 
 
 def one(spark, expr, schema="x int", row=(1,)):
@@ -119,3 +122,104 @@ def test_no_spread_gives_unknown_chance(spark):
 def test_decode(spark):
     assert one(spark, text.decode_escapes(F.lit("a_x0020__x0028_b_x002C__x0029_"))) == "a (b,)"
     assert one(spark, text.has_split_digits(F.lit("1 2"))) is True
+
+
+# --- normal distribution and the W test ---------------------------------------
+
+
+def test_normal_quantile_and_tail(spark):
+    values = [1e-12, 1e-5, 0.01, 0.07, 0.075, 0.3, 0.5, 0.7, 0.925, 0.95, 0.9999, 1 - 1e-9]
+    row = spark.createDataFrame([(v,) for v in values], "p double").select("p", stats.normal_quantile(F.col("p")).alias("z"))
+    for r in row.collect():
+        assert r.z == pytest.approx(statistics.NormalDist().inv_cdf(r.p), rel=1e-12, abs=1e-14)
+    values = [-9.0, -3.0, -1.28, -0.5, 0.0, 0.5, 1.28, 1.2801, 2.0, 5.0, 12.0]
+    row = spark.createDataFrame([(v,) for v in values], "z double").select("z", stats.normal_upper(F.col("z")).alias("p"))
+    for r in row.collect():
+        assert r.p == pytest.approx(0.5 * math.erfc(r.z / math.sqrt(2)), rel=1e-7)
+
+
+def w_by_hand(values):
+    """The test as published, on a sorted list in one place."""
+    x, n = sorted(values), len(values)
+    if n < 3 or x[0] == x[-1]:
+        return None, None
+    normal = statistics.NormalDist()
+    m = [normal.inv_cdf((i + 1 - 0.375) / (n + 0.25)) for i in range(n)]
+    poly = lambda c, t: sum(a * t**k for k, a in enumerate(c))
+    square, u = sum(v * v for v in m), 1 / math.sqrt(n)
+    a = [0.0] * n
+    if n == 3:
+        a = [-math.sqrt(0.5), 0.0, math.sqrt(0.5)]
+    else:
+        a[-1] = poly([0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056], u) + m[-1] / math.sqrt(square)
+        own = 1
+        if n > 5:
+            a[-2] = poly([0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633], u) + m[-2] / math.sqrt(square)
+            own = 2
+        ends = range(n - own, n)
+        phi = (square - 2 * sum(m[i] ** 2 for i in ends)) / (1 - 2 * sum(a[i] ** 2 for i in ends))
+        for i in range(own, n - own):
+            a[i] = m[i] / math.sqrt(phi)
+        for i in range(own):
+            a[i] = -a[n - 1 - i]
+    mean = sum(x) / n
+    w = min(1.0, sum(p * q for p, q in zip(a, x, strict=True)) ** 2 / sum((v - mean) ** 2 for v in x))
+    if n == 3:
+        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    if w >= 1:
+        return w, 1.0
+    y, size = math.log(1 - w), math.log(n)
+    if n <= 11:
+        bound = poly([-2.273, 0.459], n)
+        if y >= bound:
+            return w, 0.0
+        z = (-math.log(bound - y) - poly([0.544, -0.39978, 0.025054, -6.714e-4], n)) / math.exp(
+            poly([1.3822, -0.77857, 0.062767, -0.0020322], n)
+        )
+    else:
+        z = (y - poly([-1.5861, -0.31082, -0.083751, 0.0038915], size)) / math.exp(poly([-0.4803, -0.082676, 0.0030302], size))
+    return w, 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def test_w_test_by_ranks(spark):
+    rng = random.Random(5)
+    groups = {f"n{n}": [rng.gauss(3, 2) for _ in range(n)] for n in (1, 2, 3, 4, 5, 6, 7, 11, 12, 30, 500)}
+    groups |= {
+        "weights": [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236],  # a published example
+        "ties": [float(rng.randrange(6)) for _ in range(200)],
+        "skewed": [rng.expovariate(1) for _ in range(3000)],
+        "equal": [4.0] * 9,
+        "spike": [0.0] * 9 + [1000.0],
+        "line": [1.0, 2.0, 3.0],
+        None: [rng.gauss(0, 1) for _ in range(50)],
+    }
+    data = [(g, float(v), -float(v)) for g, vs in groups.items() for v in vs] + [("ties", None, None), ("n30", None, 1.0)]
+    df = spark.createDataFrame(data, "g string, a double, b double").repartition(5)
+    found = {(r.g, r.variable): r for r in training.normality_by_order(df, ["g"], ["a", "b"]).collect()}
+    for g, values in groups.items():
+        for variable, sign in (("a", 1), ("b", -1)):
+            vs = [sign * v for v in values] + ([1.0] if (g, variable) == ("n30", "b") else [])
+            w, p = w_by_hand(vs)
+            r = found[(g, variable)]
+            assert r.n == len(vs)
+            assert r.w == (None if w is None else pytest.approx(w, rel=1e-9))
+            assert r.p_value == (None if p is None else pytest.approx(p, rel=1e-5, abs=1e-9))
+    r = found[("weights", "a")]
+    assert r.w == pytest.approx(0.7888146948631716, rel=1e-6) and r.p_value == pytest.approx(0.006703814061898823, rel=1e-4)
+    try:
+        from scipy.stats import shapiro
+    except ImportError:
+        return
+    for g in ("n12", "n500", "ties"):
+        assert found[(g, "a")].w == pytest.approx(shapiro(groups[g]).statistic, rel=1e-5)
+
+
+def test_no_group_is_gathered_for_the_w_test(spark):
+    df = spark.range(5000).select(F.lit("g").alias("g"), (F.col("id") * 7 % 5000).cast("double").alias("x"))
+    tested = training.normality_by_order(df, ["g"], ["x"])
+    text = tested._jdf.queryExecution().executedPlan().toString()
+    # The only window is over one row per group and partition; sums are combined before the shuffle.
+    assert "SinglePartition" not in text and "partial_sum" in text and "collect_" not in text
+    windows = [line for line in text.split("\n") if "Window [" in line]
+    assert windows and all("_rows" in line for line in windows)
+    assert tested.first().n == 5000
