@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from milepost.functions.dates import epoch_days
 from milepost.functions.rules import holds
 from milepost.functions.stats import outside
-from milepost.operators.setops import key_product
-from milepost.session import SmallTable
+from milepost.operators.setops import grid, key_values
+from milepost.session import staged
 
 SUMMARY_FUNCTIONS = {
     "min": F.min,
@@ -66,31 +66,24 @@ def group_summary(
     types = dict(df.dtypes)
     dates = [c for c in cols if types[c].startswith(("date", "timestamp"))]
     data = df.select(*keys, *[epoch_days(F.col(c)).alias(c) if c in dates else c for c in cols])
-    product = key_product(data, keys)
-    if z is not None:
+    summaries = {f"{c}_{f}": SUMMARY_FUNCTIONS[f](c) for c in cols for f in funcs}
+    which = "_which"
+    if z is None:
+        both = staged(key_values(data, keys, summaries, which))
+        cells = both.filter(F.col(which) == 0).drop(which)
+    else:
         numeric = [c for c in cols if c not in dates]
-        bounds = SmallTable(
-            data.groupBy(*keys).agg(
-                *[F.avg(c).alias(f"_m_{c}") for c in numeric],
-                *[F.stddev_samp(c).alias(f"_s_{c}") for c in numeric],
-            )
-        )
-        joined = bounds.join(data, keys)
-        data = joined.select(
-            *keys,
-            *dates,
-            *[
-                F.when(
-                    ~outside(F.col(c), F.col(f"_m_{c}"), F.col(f"_s_{c}"), z), F.col(c)
-                ).alias(c)
-                for c in numeric
-            ],
-        )
-    cells = data.groupBy(*keys).agg(
-        *[SUMMARY_FUNCTIONS[f](c).alias(f"{c}_{f}") for c in cols for f in funcs]
-    )
+        spread = {f"_m_{c}": F.avg(c) for c in numeric} | {f"_s_{c}": F.stddev_samp(c) for c in numeric}
+        both = staged(key_values(data, keys, spread, which))
+        bounds = both.filter(F.col(which) == 0).drop(which)
+        inside = [
+            F.when(~outside(F.col(c), F.col(f"_m_{c}"), F.col(f"_s_{c}"), z), F.col(c)).alias(c)
+            for c in numeric
+        ]
+        trimmed = data.join(bounds, keys).select(*keys, *dates, *inside)
+        cells = trimmed.groupBy(*keys).agg(*[c.alias(name) for name, c in summaries.items()])
     counts = [f"{c}_count" for c in cols] if "count" in funcs else []
-    return product.join(cells, keys, "left").fillna(0, counts)
+    return grid(both, keys, which).join(cells, keys, "left").fillna(0, counts)
 
 
 def inconsistent_keys(df: DataFrame, key: str, col: str) -> DataFrame:

@@ -7,32 +7,91 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from milepost.operators.ranks import all_equal, unused
+from milepost.session import staged
 
-def _matching(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Condition that lets an unknown key match an unknown key; right keys renamed."""
-    names = {k: f"_r_{k}" for k in keys}
-    right = right.withColumnsRenamed(names)
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[names[k]]) for k in keys])
-    return right, cond, list(names.values())
+
+# Rows with an unknown key are dealt over this many parts; the other side's are copied to each.
+UNKNOWN_PARTS = 32
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL.
 
-    A full join is a left join and the rows of the right side without a partner: both can
-    be split where a key is hot, which a full outer join cannot.
+    Rows of the left side with an unknown key are dealt over ``UNKNOWN_PARTS`` parts and those
+    of the right side copied to each, so unknown keys, often many, never meet in one task. A
+    right join is the left join of the swapped sides, a full join see ``full_join``.
     """
-    if how in ("full", "outer"):
-        alone = null_safe_join(right, left.select(*keys), keys, "left_anti")
-        joined = null_safe_join(left, right, keys, "left")
-        return joined.unionByName(alone, allowMissingColumns=True)
-    renamed, cond, extra = _matching(left, right, keys)
-    joined = left.join(renamed, cond, how)
+    if how in ("full", "outer", "full_outer"):
+        return full_join(left, right, keys)
+    if how in ("right", "right_outer"):
+        order = [*left.columns, *[c for c in right.columns if c not in keys]]
+        return null_safe_join(right, left, keys, "left").select(*[F.col(f"`{c}`") for c in order])
+    taken = [*left.columns, *right.columns]
+    names = {k: unused(taken, f"_r_{i}") for i, k in enumerate(keys)}
+    part, copy = unused(taken, "_part"), unused(taken, "_copy")
+    lost = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(UNKNOWN_PARTS)).cast("int")
+    left = left.withColumn(part, F.when(lost, dealt).otherwise(0))
+    copies = F.when(lost, F.sequence(F.lit(0), F.lit(UNKNOWN_PARTS - 1))).otherwise(F.array(F.lit(0)))
     if how in ("left_semi", "left_anti"):
-        return joined
-    if how == "right":
-        joined = joined.withColumns({k: F.coalesce(left[k], F.col(f"_r_{k}")) for k in keys})
-    return joined.drop(*extra)
+        right = right.select(*keys)
+    right = right.withColumn(copy, F.explode(copies)).withColumnsRenamed(names)
+    meet = all_equal([(left[f"`{k}`"], right[n]) for k, n in names.items()]) & (left[part] == right[copy])
+    return left.join(right, meet, how).drop(part, copy, *names.values())
+
+
+def full_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of both sides, matched on ``keys``, NULL matching NULL.
+
+    Both sides are tagged and stacked, and one aggregate per key, combined before the shuffle,
+    counts the rows of each side and keeps one of each. Keys with one row a side at most, the
+    usual case, are complete with that. Rows of keys that repeat are joined from the sides again.
+    """
+    rest_a, rest_b = ([c for c in d.columns if c not in keys] for d in (a, b))
+    if set(rest_a) & set(rest_b):
+        raise ValueError("full_join: the sides share columns besides the keys")
+    names = {k: f"k{i}" for i, k in enumerate(keys)}
+    columns = [F.col(f"`{k}`").alias(n) for k, n in names.items()]
+
+    def side(df: DataFrame, rest: list[str], tag: str) -> DataFrame:
+        row = F.struct(F.lit(True).alias("here"), *[F.col(f"`{c}`") for c in rest])
+        return df.select(*columns, row.alias(tag))
+
+    stacked = side(a, rest_a, "a").unionByName(side(b, rest_b, "b"), allowMissingColumns=True)
+    merged = stacked.groupBy(*names.values()).agg(
+        F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.max("a").alias("a"), F.max("b").alias("b")
+    )
+    out = [F.col(n).alias(k) for k, n in names.items()]
+    out += [F.col(f"{tag}.`{c}`").alias(c) for tag, rest in (("a", rest_a), ("b", rest_b)) for c in rest]
+    merged = staged(merged)
+    once = merged.filter("n_a <= 1 AND n_b <= 1").select(*out)
+    often = merged.filter("n_a > 1 OR n_b > 1").select(*[F.col(n).alias(k) for k, n in names.items()])
+    if often.isEmpty():
+        return once
+    a, b = (null_safe_join(d, often, keys, "left_semi") for d in (a, b))
+    met = null_safe_join(a, b, keys, "left")
+    alone = null_safe_join(b, a, keys, "left_anti")
+    return once.unionByName(met).unionByName(alone, allowMissingColumns=True)
+
+
+def key_presence(a: DataFrame, b: DataFrame, keys: list[str], in_a: str, in_b: str) -> DataFrame:
+    """Keys of both sides and where each occurs, as often as a full join has them: one aggregate."""
+    n_a, n_b, copy = (unused(keys, x) for x in ("_n_a", "_n_b", "_copy"))
+    stacked = a.select(*keys, F.lit(1).alias(n_a), F.lit(0).alias(n_b)).unionByName(
+        b.select(*keys, F.lit(0).alias(n_a), F.lit(1).alias(n_b))
+    )
+    counts = stacked.groupBy(*keys).agg(F.sum(n_a).alias(n_a), F.sum(n_b).alias(n_b))
+    times = F.greatest(F.col(n_a), F.lit(1)) * F.greatest(F.col(n_b), F.lit(1))
+    once = counts.filter(times == 1)
+    # Copies of a key are counted out in a row of their own, never by an array of all of them.
+    block = 1024
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((times - 1) / block)))
+    often = counts.filter(times > 1).withColumn(copy, times).withColumn("_block", blocks).repartition(*keys, "_block")
+    inside = F.least(F.lit(block), F.col(copy) - F.col("_block") * block).cast("int")
+    often = often.withColumn("_one", F.explode(F.array_repeat(F.lit(0), inside)))
+    sides = [(F.col(n_a) > 0).alias(in_a), (F.col(n_b) > 0).alias(in_b)]
+    return once.unionByName(often.select(*counts.columns)).select(*keys, *sides)
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -47,9 +106,9 @@ def reconcile(
     a: DataFrame, b: DataFrame, keys: list[str], in_a: str = "in_a", in_b: str = "in_b"
 ) -> DataFrame:
     """Rows of both sides, matched where they can be, with the sides each was found on."""
-    joined = null_safe_join(
-        a.withColumn(in_a, F.lit(True)), b.withColumn(in_b, F.lit(True)), keys, "full"
-    )
+    if set(a.columns) | set(b.columns) <= set(keys):
+        return key_presence(a, b, keys, in_a, in_b)
+    joined = full_join(a.withColumn(in_a, F.lit(True)), b.withColumn(in_b, F.lit(True)), keys)
     return joined.fillna(False, [in_a, in_b])
 
 
@@ -91,6 +150,6 @@ def compare(
 ) -> DataFrame:
     """Outer join of two systems with the compared columns of each side by side."""
     left, right = (
-        d.select(*keys, *[F.col(c).alias(c + s) for c in cols]) for d, s in zip((a, b), suffixes)
+        d.select(*keys, *[F.col(f"`{c}`").alias(c + s) for c in cols]) for d, s in zip((a, b), suffixes)
     )
-    return null_safe_join(left, right, keys, "full")
+    return full_join(left, right, keys)

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.dates import midnight, days_between
-from milepost.functions.rules import differs
+from milepost.functions.rules import any_of, differs
 from milepost.functions.text import decode_escapes
 from milepost.operators.aggregates import inconsistent_keys
 from milepost.operators.joins import compare
 
-_EASY_LIMIT = 100
+_MOST_ROOM = 26  # bits of the largest sketch
 
 
 def constant_columns(df: DataFrame) -> DataFrame:
@@ -37,22 +37,25 @@ def constant_columns(df: DataFrame) -> DataFrame:
 def many_valued(df: DataFrame, columns: list[str], k: int) -> set[str]:
     """Columns with more than ``k`` distinct values, the unknown one counted as a value.
 
-    A sketch pass settles most columns for certain: up to ``k`` values can fill at most
-    ``k`` sketch registers, so an estimate far above ``k`` proves more than ``k`` values.
-    Only columns the sketch leaves open are counted exactly, and those hold few values.
+    One pass keeps, per column, the smallest hashes of its values, which merge between tasks
+    (a theta sketch). While a column has no more values than the sketch has room for, above
+    ``k``, the count is exact; beyond, the estimate is never below that room. So the answer is
+    exact for every ``k``, and each column costs the same bounded buffer.
     """
-    unknown = {c: F.max(F.col(c).isNull().cast("int")) for c in columns}
-    settled: set[str] = set()
-    if k <= _EASY_LIMIT:
-        sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-        settled = {c for c in columns if sketch[c] > 4 * (k + 1)}
-    rest = [c for c in columns if c not in settled]
-    if not rest:
-        return settled
-    exact = df.agg(
-        *[(F.count_distinct(c) + F.coalesce(unknown[c], F.lit(0))).alias(c) for c in rest]
+    room = max(4, (k + 1).bit_length())
+    if room > _MOST_ROOM:
+        raise ValueError(f"many_valued: k is {2**_MOST_ROOM - 1} at most")
+    facts = df.agg(
+        *[
+            (
+                # The letter keeps empty texts, which a sketch passes over.
+                F.theta_sketch_estimate(F.theta_sketch_agg(F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")), room))
+                + F.coalesce(F.max(F.col(f"`{c}`").isNull().cast("int")), F.lit(0))
+            ).alias(f"n{i}")
+            for i, c in enumerate(columns)
+        ]
     ).first()
-    return settled | {c for c in rest if exact[c] > k}
+    return {c for i, c in enumerate(columns) if facts[i] > k}
 
 
 def show_cases(df: DataFrame, columns: list[str], k: int, example_by: list[str]) -> DataFrame:
@@ -89,8 +92,8 @@ def forecast_differences(ours: DataFrame, theirs: DataFrame, keys: list[str]) ->
 def compare_systems(ours: DataFrame, theirs: DataFrame, columns: list[str]) -> DataFrame:
     """Plants whose criterion or texts differ; plants with two criteria over there left out."""
     split = inconsistent_keys(theirs, "plant_id", "criterion_pmo").select("plant_id")
-    distinct = theirs.select("plant_id", *columns).distinct()
+    distinct = theirs.select("plant_id", *[F.col(f"`{c}`") for c in columns]).distinct()
     both = compare(ours, distinct, ["plant_id"], columns, ("_ours", "_theirs"))
-    flags = {f"{c}_differs": differs(F.col(f"{c}_ours"), F.col(f"{c}_theirs")) for c in columns}
-    any_flag = " OR ".join(flags)
-    return both.join(split, "plant_id", "left_anti").withColumns(flags).filter(any_flag)
+    flags = {f"{c}_differs": differs(F.col(f"`{c}_ours`"), F.col(f"`{c}_theirs`")) for c in columns}
+    changed = any_of(*[F.col(f"`{name}`") for name in flags])
+    return both.join(split, "plant_id", "left_anti").withColumns(flags).filter(changed)

@@ -12,6 +12,7 @@ from milepost.operators.joins import lookup
 from milepost.operators.mapping import apply_mapping
 from milepost.operators.setops import union_with_origin
 from milepost.plans.model import REGULATED
+from milepost.session import staged
 
 # Legacy column -> column of the common layout. The pairs are the
 # default; callers with a mapping table of their own pass it instead.
@@ -46,8 +47,10 @@ def registry_history(units: DataFrame, plants: DataFrame, auctions: DataFrame) -
     Only plants with an auction keep their attributes; units of other plants stay with
     unknown ones, and plants without units stay too.
     """
-    sold = plants.join(first_supply(auctions), "plant_id")
-    merged = collapse_units(units, "unit_mw").join(sold, "plant_id", "full")
+    sold = staged(plants.join(first_supply(auctions), "plant_id"))
+    collapsed = staged(collapse_units(units, "unit_mw"))
+    bare = sold.join(collapsed.select("plant_id"), "plant_id", "left_anti")
+    merged = collapsed.join(sold, "plant_id", "left").unionByName(bare, allowMissingColumns=True)
     return merged.withColumn(
         "obligation_date",
         training_obligation(F.col("market"), F.col("supply_date"), F.col("granted_commercial")),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -11,8 +12,8 @@ from milepost.functions.rules import any_of, differs, first_match, last_match, m
 from milepost.operators import aggregates as agg
 from milepost.operators import joins, mapping, pick, setops
 from milepost.plans.history import first_supply, legacy_history, registry_history, training_obligation
-from milepost.session import SmallTable
-from milepost.sources import files, manifest, sinks, views
+from milepost.session import SmallTable, stage_folder
+from milepost.sources import files, manifest, sinks, splits, views
 from registry.base import query, steps
 
 AS_OF = dt.date(2000, 6, 15)
@@ -52,15 +53,103 @@ def _(t):
 
 @query(
     "snapshot_manifest",
-    "SELECT n_name AS table_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)",
+    """SELECT r_name AS table_name FROM region
+       UNION ALL SELECT n_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)""",
 )
 def _(t):
-    rich = t.customer.filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("n_nationkey"))
-    entries = t.nation.join(rich, "n_nationkey").select(
-        F.col("n_name").alias("table_name"), F.lit(dt.datetime(2024, 1, 1)).alias("loaded_at")
+    loads = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("table_name"),
+        F.timestamp_seconds("c_custkey").cast("timestamp_ntz").alias("loaded_at"),
     )
-    required = [r.n_name for r in t.nation.select("n_name").collect()]
-    return manifest.missing_tables(manifest.latest_entries(entries), required)
+    names = t.nation.select(F.col("n_name").alias("table_name"))
+    required = names.unionByName(t.region.select(F.col("r_name").alias("table_name")))
+    return manifest.missing_tables(manifest.latest_entries(loads), required)
+
+
+_SNAPSHOT = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+@query(
+    "snapshot_commit",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, {2 if name == 'orders' else 1} AS folders, count(*) AS n_rows, count(*) AS n_read,
+ CAST({2 if name == 'orders' else 1} * count(*) AS BIGINT) AS n_second FROM {name}"""
+        for name in _SNAPSHOT
+    ),
+)
+def _(t):
+    """Two generations, the second with twice the orders, read pinned to the first and the second."""
+    spark, folder = t.spark, stage_folder(t.spark)
+    tables = {name: getattr(t, name) for name in _SNAPSHOT}
+    first = manifest.commit_tables(spark, tables, folder, dt.datetime(2024, 3, 1))
+    again = {"orders": t.orders.unionByName(t.orders)}
+    manifest.commit_tables(spark, again, folder, dt.datetime(2024, 3, 2))
+
+    def counts(generation, name):
+        parts = [
+            df.groupBy().agg(F.lit(table).alias("table_name"), F.count("*").alias(name))
+            for table, df in manifest.read_tables(spark, folder, generation).items()
+        ]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    listed = manifest.read_manifest(spark, folder, first).select("table_name", "n_rows", "path")
+    newest = manifest.read_manifest(spark, folder).select("table_name", F.col("path").alias("new_path"))
+    joined = listed.join(newest, "table_name").join(counts(first, "n_read"), "table_name").join(counts(None, "n_second"), "table_name")
+    folders = F.when(F.col("path") == F.col("new_path"), 1).otherwise(2).alias("folders")
+    return joined.select("table_name", folders, "n_rows", "n_read", "n_second")
+
+
+@query(
+    "ingest_changed_file",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'X' END AS o_orderstatus,
+        CASE WHEN o_orderstatus = 'F' THEN 'finished.csv' ELSE 'others.csv' END AS file FROM orders""",
+)
+def _(t):
+    """Two sources of csv files, ingested, one of them rewritten, ingested again."""
+    folder = stage_folder(t.spark)
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    sources = {"finished.csv": rows.filter("o_orderstatus = 'F'"), "others.csv": rows.filter("o_orderstatus <> 'F'")}
+    for name, part in sources.items():
+        part.write.csv(f"{folder}/{name}", header=True)
+    paths = [f"{folder}/{name}" for name in sources]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string"
+    files.ingest_files(t.spark, paths, parquet_dir=f"{folder}/copies", schema=schema)
+    changed = sources["others.csv"].withColumn("o_orderstatus", F.lit("X"))
+    changed.write.mode("overwrite").csv(paths[1], header=True)
+    rows = files.ingest_files(t.spark, paths, parquet_dir=f"{folder}/copies", schema=schema)
+    name = F.element_at(F.split(files.SOURCE_FILE, "/"), -2)
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", name.alias("file"))
+
+
+@query(
+    "split_read",
+    "SELECT count(*) AS n_rows, 16 AS parts, CAST(0 AS BIGINT) AS uncovered, CAST(0 AS BIGINT) AS twice, true AS even FROM lineitem",
+)
+def _(t):
+    counts = splits.key_counts(t.lineitem, "l_orderkey")
+    predicates = splits.split_predicates(counts, "l_orderkey", 16)
+    takers = reduce(lambda a, b: a + b, [F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in predicates])
+    largest = max(n for _, n in counts)
+    per_part = splits.read_split(t.lineitem.withColumn("takers", takers), predicates).groupBy("part").agg(
+        F.count("*").alias("n"), F.count_if(F.col("takers") == 0).alias("none"), F.count_if(F.col("takers") > 1).alias("more")
+    )
+    return per_part.agg(
+        F.sum("n").alias("n_rows"),
+        F.count("part").cast("int").alias("parts"),
+        F.sum("none").alias("uncovered"),
+        F.sum("more").alias("twice"),
+        (F.max("n") <= F.sum("n") / 16 + largest).alias("even"),
+    )
+
+
+@query(
+    "table_round_trip",
+    "SELECT event_id, user_id, CAST(date_trunc('milliseconds', ts) AS TIMESTAMP) AS ts FROM events",
+)
+def _(t):
+    path = stage_folder(t.spark)
+    sinks.write_table(t.events.select("event_id", "user_id", "ts"), path, "user_id")
+    return t.spark.read.parquet(path)
 
 
 @query(
@@ -303,7 +392,7 @@ def _(t):
 )
 def _(t):
     units = t.reg_unit_fx.groupBy("plant_id").agg(F.count("*").alias("n"))
-    return units.join(t.plant_fx.select("plant_id", "market"), "plant_id", "full")
+    return joins.full_join(units, t.plant_fx.select("plant_id", "market"), ["plant_id"])
 
 
 @query(
@@ -582,8 +671,7 @@ def _(t):
     "split_duplicate_ids",
     """SELECT plant_id, unit_no, CASE WHEN gen_type = 'UHE' AND count(*) OVER (PARTITION BY plant_id) > 1
         THEN concat(CAST(plant_id AS STRING), '_', CAST(row_number() OVER (PARTITION BY plant_id, gen_type = 'UHE'
-         ORDER BY substr(md5(concat_ws('|', CAST(commercial_date AS STRING), CAST(unit_no AS STRING))), 1, 2),
-          commercial_date, unit_no) - 1 AS STRING))
+         ORDER BY commercial_date, unit_no) - 1 AS STRING))
         ELSE CAST(plant_id AS STRING) END AS unit_key FROM unit_fx""",
 )
 def _(t):

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import collections
 import datetime as dt
+import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from milepost.operators import aggregates as agg
-from milepost.operators import joins, mapping, pick, setops
+from milepost.operators import joins, mapping, pick, ranks, setops
 from milepost.plans import diagnostics as dg
 from milepost.session import SmallTable, scratch_dir, staged
 from milepost.sources import files
@@ -207,3 +210,123 @@ def test_many_valued_needs_no_exact_count_for_wide_columns(spark):
 def test_constant_columns(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None)], "x int, y string, z string")
     assert rows(dg.constant_columns(df), "column", "known") == [("y", 2), ("z", 0)]
+
+
+# --- places, one-shuffle joins, grids, bounded distinct counts ----------------
+
+
+def test_places_without_a_window_over_a_group(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "a", "a", None, "c"]), rng.random(), i) for i in range(3000)] + [("one", 0.5, 1)]
+    df = spark.createDataFrame(data, "g string, x double, _id long").repartition(6)
+    ranked = ranks.numbered(df, ["g"], ["x", "_id"])
+    assert ranked.columns == ["g", "x", "_id", "place", "size"]
+    groups = collections.defaultdict(list)
+    for g, x, i in data:
+        groups[g].append((x, i))
+    wanted = {(g, x, i, k, len(v)) for g, v in groups.items() for k, (x, i) in enumerate(sorted(v))}
+    assert {tuple(r) for r in ranked.collect()} == wanted
+    flagged = ranks.numbered(df.withColumn("odd", F.col("_id") % 2 == 1), ["g"], ["x"], only="odd")
+    odd = [r.place for r in flagged.filter("odd AND g = 'a'").collect()]
+    assert sorted(odd) == list(range(len(odd)))
+    assert ranks.numbered(df.limit(0), ["g"], ["x"]).count() == 0
+    with pytest.raises(ValueError):
+        ranks.numbered(df, [], ["x"])
+
+
+def test_numbering_spreads_a_hot_key(spark):
+    """One key with all rows: every task has a part of it, windows see one row a partition."""
+    hot = spark.range(40_000).select(F.lit(7).alias("k"), F.col("id").alias("t"), F.lit("H").alias("kind"))
+    out = pick.split_duplicate_ids(hot, "k", ["t"], F.col("kind") == "H")
+    assert out.filter(F.col("unit_key") != F.concat(F.lit("7_"), F.col("t").cast("string"))).isEmpty()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = ranks.numbered(hot, ["k"], ["t"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [pq.read_metadata(f.removeprefix("file://")).num_rows for f in set(ranked.inputFiles())]
+    assert len(sizes) > 1 and max(sizes) < 20_000
+    text = plan(out)
+    assert "SinglePartition" not in text and text.count("Scan parquet") <= 2
+
+
+def by_hand_full(a, b):
+    out = collections.Counter()
+    for k, x in a:
+        met = [y for j, y in b if j == k]
+        for y in met or [None]:
+            out[(k, x, y)] += 1
+    for k, y in b:
+        if k not in [j for j, _ in a]:
+            out[(k, None, y)] += 1
+    return out
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_full_join_in_one_shuffle(spark, repeats):
+    a = [(k, f"a{k}") for k in range(0, 60, 2)] + [(None, "an")]
+    b = [(k, f"b{k}") for k in range(0, 60, 3)] + [(None, "bn")]
+    if repeats:
+        a += [(None, f"n{i}") for i in range(40)] + [(6, "again"), (2, "again"), (2, None)]
+        b += [(None, f"m{i}") for i in range(30)] + [(6, "more"), (9, None), (9, None)]
+    left, right = spark.createDataFrame(a, "k long, x string"), spark.createDataFrame(b, "k long, y string")
+    full = joins.full_join(left, right, ["k"])
+    assert collections.Counter(tuple(r) for r in full.collect()) == by_hand_full(a, b)
+    assert "FullOuter" not in plan(full)
+    sides = joins.reconcile(left.select("k"), right.select("k"), ["k"])
+    wanted = collections.Counter((k, x, y) for (k, x, y), n in by_hand_full([(k, 1) for k, _ in a], [(k, 1) for k, _ in b]).items() for _ in range(n))
+    found = collections.Counter((r.k, 1 if r.in_a else None, 1 if r.in_b else None) for r in sides.collect())
+    assert found == wanted
+    assert plan(sides).count("Join") == 0
+    with pytest.raises(ValueError):
+        joins.full_join(left, left, ["k"])
+
+
+def test_unknown_keys_are_dealt_over_parts(spark):
+    a = spark.createDataFrame([(None, i) for i in range(100)] + [(1, 1)], "k long, x long")
+    b = spark.createDataFrame([(None, i) for i in range(100)] + [(1, 7), (2, 8)], "k long, y long")
+    pairs = joins.null_safe_join(a, b, ["k"], "inner")
+    assert pairs.count() == 10_001 and pairs.filter("k IS NULL").select("x", "y").distinct().count() == 10_000
+    assert joins.null_safe_join(a, b, ["k"], "left_semi").count() == 101
+    assert joins.null_safe_join(b, a, ["k"], "left_anti").collect()[0].y == 8
+    right = joins.null_safe_join(a, b, ["k"], "right")
+    assert right.columns == ["k", "x", "y"] and right.count() == 10_002 and right.filter("k = 2").first().x is None
+    assert plan(pairs).count("xxhash64") >= 1
+
+
+def test_grid_and_cells_come_from_one_aggregate(spark):
+    df = spark.createDataFrame(
+        [("a", 1, True, 2.0), ("b", 2, False, 4.0), ("a", 1, True, 6.0), (None, 3, None, 1.0), ("b", None, True, 9.0)],
+        "g string, n int, f boolean, v double",
+    )
+    product = setops.key_product(df, ["g", "n", "f"])
+    assert {tuple(r) for r in product.collect()} == {(g, n, f) for g in "ab" for n in (1, 2, 3) for f in (True, False)}
+    assert product.count() == 12
+    assert {r.g for r in setops.key_product(df, ["g"]).collect()} == {"a", "b"}
+    assert setops.key_product(df.limit(0), ["g", "n"]).count() == 0
+    assert setops.key_product(df.select("g", F.lit(None).cast("int").alias("n")), ["g", "n"]).count() == 0
+    cells = agg.group_summary(df, ["g", "n"], ["v"], ["mean", "count"])
+    assert {tuple(r) for r in cells.collect()} == {
+        (g, n, {("a", 1): 4.0, ("b", 2): 4.0}.get((g, n)), {("a", 1): 2, ("b", 2): 1}.get((g, n), 0)) for g in "ab" for n in (1, 2, 3)
+    }
+    for result in (product, cells):
+        assert "SinglePartition" not in plan(result) and "NestedLoop" not in plan(result) and "Cartesian" not in plan(result)
+
+
+@pytest.mark.parametrize("k", [1, 2, 15, 16, 17, 100, 1000])
+def test_many_valued_is_exact_for_every_bound(spark, k):
+    parts = {f"c{d}": F.when(F.col("id") % 7 != 0, F.col("id") % d) for d in (max(1, k - 1), k, k + 1)}
+    df = spark.range(20_000).select(
+        *[c.cast("string").alias(n) for n, c in parts.items()],
+        F.when(F.col("id") % 3 == 0, "").otherwise("x").alias("texts"),
+        F.lit(None).cast("date").alias("a b"),
+        F.col("id").cast("double").alias("all"),
+    )
+    exact = {c for c in df.columns if df.select(c).distinct().count() > k}
+    assert dg.many_valued(df, df.columns, k) == exact
+
+
+def test_compare_systems_takes_any_column_name(spark):
+    ours = spark.createDataFrame([(1, 1.0, "x"), (2, 1.0, "y")], ["plant_id", "criterion_pmo", "a b"])
+    theirs = spark.createDataFrame([(1, 1.0, "x"), (2, 1.0, "z")], ["plant_id", "criterion_pmo", "a b"])
+    assert [r.plant_id for r in dg.compare_systems(ours, theirs, ["criterion_pmo", "a b"]).collect()] == [2]
