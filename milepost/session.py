@@ -23,6 +23,8 @@ _RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
+_DROP_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the plans rely on to an existing session."""
@@ -60,15 +62,26 @@ def _stage_folder(spark: SparkSession) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/milepost-{spark.sparkContext.applicationId}"
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """A new shared folder that ``drop_stages`` removes."""
+    return f"{_stage_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet stage table in the shared folder and read it back.
 
     Used where one result feeds several later passes. Unlike a cached block the
     table survives executor loss, and later passes read only their columns.
     """
-    path = f"{_stage_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, stage_folder(df.sparkSession)
+    # What the write shuffled is of no use once the table is there.
+    before = spark.conf.get(_DROP_SHUFFLE, "false")
+    spark.conf.set(_DROP_SHUFFLE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stages(spark: SparkSession) -> None:

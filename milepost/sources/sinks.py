@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Column of the plans -> heading of the exported files.
@@ -41,6 +43,22 @@ BUSINESS_NAMES = {
     "sent_at": "DthEnvio",
 }
 
+# Reports of each result table.
+REPORTS_OF = {
+    "units": ["lane_1"],
+    "plants": ["lane_2a", "review_list", "redo_list"],
+    "review": ["todo", "check_start"],
+    "justifications": ["check_justification"],
+    "dates": ["check_dates"],
+    "coefficients": ["coefficients"],
+    "training": ["training_rows"],
+    "backcast": ["test_forecasts"],
+    "rejects": ["order_rejects"],
+    "history": ["public_data"],
+    "forecasts": ["forecast"],
+    "quarantine": ["quarantine"],
+}
+
 # Rows and columns of each report.
 REPORTS = {
     "lane_1": (
@@ -79,6 +97,39 @@ REPORTS = {
         "true",
         ["plant_id", "monitored_at", "unit_no", "planned_commercial", "rule_date", "reviewer"],
     ),
+    "coefficients": (
+        "true",
+        [
+            "gen_type", "phase", "level", "n", "mean_days", "std_days", "a", "b", "r",
+            "mean_delay", "std_delay",
+        ],
+    ),
+    "training_rows": (
+        "true",
+        [
+            "unit_key", "plant_id", "gen_type", "market", "phase", "level", "is_train", "outlier",
+            "obligation_date", "commercial_date", "milestone_date", "days", "milestone_delay", "delay",
+        ],
+    ),
+    "test_forecasts": (
+        "NOT is_train AND level = 'Ambos'",
+        [
+            "unit_key", "plant_id", "gen_type", "market", "phase", "obligation_date",
+            "commercial_date", "forecast", "forecast_error",
+        ],
+    ),
+    "order_rejects": ("true", ["plant_id", "gen_type", "reject_reason"]),
+    "forecast": (
+        "true",
+        [
+            "plant_name", "plant_id", "unit_no", "gen_type", "forecast", "obligation_date",
+            "monitored_at", "phase", "probability", "over_30_days", "planned_start", "granted_start",
+        ],
+    ),
+    "quarantine": (
+        "true",
+        ["plant_id", "plant_name", "unit_no", "gen_type", "market", "granted_commercial"],
+    ),
     "public_data": (
         "true",
         [
@@ -102,6 +153,68 @@ def export_report(df: DataFrame, name: str, folder: str) -> None:
     report(df, name).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
 
 
+def report_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """All reports of the given result tables as (report, line), each table read once.
+
+    Every row is tagged with the reports it belongs to and becomes one csv line of each.
+    """
+    parts = []
+    for table, df in tables.items():
+        lines = [
+            F.when(
+                F.expr(REPORTS[name][0]),
+                F.struct(
+                    F.lit(name).alias("report"),
+                    F.to_csv(
+                        F.struct(*[_plain(F.col(c), dict(df.dtypes)[c]).alias(c) for c in REPORTS[name][1]]),
+                        {"timestampNTZFormat": _STAMP, "timestampFormat": _STAMP},
+                    ).alias("line"),
+                ),
+            )
+            for name in REPORTS_OF[table]
+        ]
+        tagged = df.select(F.explode(F.filter(F.array(*lines), lambda x: x.isNotNull())).alias("x"))
+        parts.append(tagged.select("x.report", "x.line"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+_STAMP = "yyyy-MM-dd HH:mm:ss"
+
+
+def _plain(value: Column, kind: str) -> Column:
+    """Lists are joined to one text; other values stay."""
+    return F.array_join(value.cast("array<string>"), ", ") if kind.startswith("array") else value
+
+
+def export_reports(tables: dict[str, DataFrame], folder: str, parts: int = 8) -> None:
+    """Write all reports of all tables in one job, as csv files below ``report=<name>``.
+
+    A report's rows are dealt over ``parts`` files; each begins with the heading, so a file is a
+    csv table of its own and a folder reads as one.
+    """
+    rows = report_lines(tables)
+    dealt = F.pmod(F.xxhash64("line"), F.lit(parts)).cast("int")
+    names = [name for table in tables for name in REPORTS_OF[table]]
+    headings = rows.sparkSession.createDataFrame(
+        [(name, ",".join(BUSINESS_NAMES.get(c, c) for c in REPORTS[name][1]), part, 0) for name in names for part in range(parts)],
+        "report string, line string, part int, place int",
+    )
+    every = rows.select("report", "line", dealt.alias("part"), F.lit(1).alias("place")).unionByName(headings)
+    (
+        every.repartition("report", "part")
+        .sortWithinPartitions("report", "part", "place", "line")
+        .drop("place")
+        .write.mode("overwrite")
+        .partitionBy("report", "part")
+        .text(folder)
+    )
+
+
+def read_report(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A report that ``export_reports`` wrote, all columns as text."""
+    return spark.read.csv(f"{folder}/report={name}", header=True).drop("part")
+
+
 def write_table(df: DataFrame, path: str, cluster_by: str | None = None) -> None:
     """Parquet sink with millisecond times. Sorting files by the key lets scans skip them."""
     stamps = [c for c, t in df.dtypes if t.startswith("timestamp")]

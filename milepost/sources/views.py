@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from milepost.plans.pipelines import Snapshot
 from milepost.sources.catalog import SNAPSHOT_TABLES, VIEWS
 from milepost.sources.files import read_id_list
-from milepost.sources.manifest import write_manifest
+from milepost.sources.manifest import commit_tables, read_tables
+from milepost.sources.splits import key_counts, split_predicates
 
 KEY = "IdeUsinaOutorga"
 
@@ -53,44 +54,39 @@ def read_view(
     name: str,
     location: str | None = None,
     jdbc: dict[str, str] | None = None,
-    partitions: tuple[int, int, int] | None = None,
+    parts: int = 32,
 ) -> DataFrame:
     """A source view with its known columns, from parquet or over JDBC.
 
-    ``partitions`` (lowest id, highest id, number of reads) splits a JDBC read by plant; a
-    view with plants is not read over JDBC without it, as one task would read it whole.
+    A view with plants is read over JDBC in ``parts`` reads of about equal size and one of the
+    rows without a plant: the database counts rows per range of plants first.
     """
     columns = VIEWS[name]
     if jdbc is None:
         return spark.read.parquet(f"{location}/{name}").select(*columns)
-    if KEY in columns and partitions is None:
-        raise ValueError(f"{name}: give partitions to read it over JDBC")
     reader = spark.read.format("jdbc").options(**jdbc).option("dbtable", name)
-    if KEY in columns:
-        low, high, count = partitions
-        reader = (
-            reader.option("partitionColumn", KEY)
-            .option("lowerBound", low)
-            .option("upperBound", high)
-            .option("numPartitions", count)
-        )
-    return reader.load().select(*columns)
+    if KEY not in columns:
+        return reader.load().select(*columns)
+    predicates = split_predicates(key_counts(reader.load(), KEY), KEY, parts)
+    rest = {k: v for k, v in jdbc.items() if k != "url"}
+    return spark.read.jdbc(jdbc["url"], name, predicates=predicates, properties=rest).select(*columns)
 
 
 def take_snapshot(
     spark: SparkSession, names: list[str], target: str, loaded_at: dt.datetime, **source
-) -> None:
-    """Copy views into typed parquet tables and record them in the manifest."""
-    for name in names:
-        typed = apply_prefix_types(read_view(spark, name, **source))
-        typed.write.mode("overwrite").parquet(f"{target}/{name}")
-        write_manifest(spark, target, {name: loaded_at})
+) -> int:
+    """Copy views into typed parquet tables and publish them together; gives the generation."""
+    typed = {name: apply_prefix_types(read_view(spark, name, **source)) for name in names}
+    return commit_tables(spark, typed, target, loaded_at)
 
 
-def read_snapshot(spark: SparkSession, folder: str, id_list: str | None = None) -> Snapshot:
-    """The tables of a snapshot under the names the plans use."""
+def read_snapshot(
+    spark: SparkSession, folder: str, id_list: str | None = None, generation: int | None = None
+) -> Snapshot:
+    """The tables of the newest, or of the given, generation under the names the plans use."""
+    pinned = read_tables(spark, folder, generation)
     tables = {
-        role: scan(spark.read.parquet(f"{folder}/{view}"), names)
+        role: scan(pinned[view], names)
         for role, (view, names) in SNAPSHOT_TABLES.items()
     }
     selected = (

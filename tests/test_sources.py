@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from milepost.sources import catalog, files, manifest, sinks, views
+from milepost.sources import catalog, files, manifest, sinks, splits, views
 
 
 def empty_view(spark, name):
@@ -70,7 +70,7 @@ def test_ingest_files(spark, tmp_path):
     assert sorted((r.id, r.name) for r in df.collect()) == [(1, "x"), (2, "y"), (3, "z")]
     (tmp_path / "a.csv").write_text("id,name\n9,changed\n")
     again = files.ingest_files(spark, [a, b], parquet_dir=copies)
-    assert again.filter("id = 9").isEmpty()
+    assert not again.filter("id = 9").isEmpty() and again.count() == 2
     fresh = files.ingest_files(spark, [a, b], parquet_dir=copies, refresh=True)
     assert not fresh.filter("id = 9").isEmpty()
     (tmp_path / "a.csv").write_text("id,name\n2,y\n")
@@ -80,6 +80,110 @@ def test_ingest_files(spark, tmp_path):
         files.ingest_files(spark, ["x.xlsx"])
 
 
+def test_only_changed_files_are_read_again(spark, tmp_path):
+    paths = []
+    for name, text in {"a.csv": "id,name\n1,x\n", "b b.csv": "name,id\ny,2\n", "empty.csv": "id,name\n", "d.json": '{"id": 4, "name": "w"}\n'}.items():
+        (tmp_path / name).write_text(text)
+        paths.append(str(tmp_path / name))
+    copies = str(tmp_path / "copies")
+    read = lambda: files.ingest_files(spark, paths, parquet_dir=copies, schema="id long, name string")
+    assert sorted((r.id, r.name, r.source_file) for r in read().collect()) == [(1, "x", paths[0]), (2, "y", paths[1]), (4, "w", paths[3])]
+    runs = lambda: len(list((tmp_path / "copies").glob("run-*")))
+    assert runs() == 1 and len(read().collect()) == 3 and runs() == 1
+    (tmp_path / "b b.csv").write_text("name,id\nz,3\n")
+    assert sorted((r.id, r.name) for r in read().collect()) == [(1, "x"), (3, "z"), (4, "w")] and runs() == 2
+    second = list((tmp_path / "copies").glob("run-*/source_state=*"))
+    assert len(second) == 4  # three files with rows, then one of them again
+    # A run that stops before its entry is written leaves nothing that is read.
+    (tmp_path / "copies" / "run-lost").mkdir()
+    assert len(read().collect()) == 3
+
+
+def test_failed_copy_leaves_the_snapshot(spark, tmp_path):
+    folder = str(tmp_path / "snap")
+    good = {"a": spark.range(5), "b": spark.range(7)}
+    assert manifest.commit_tables(spark, good, folder, dt.datetime(2024, 1, 1)) == 1
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")))
+    with pytest.raises(Exception, match="lost"):
+        manifest.commit_tables(spark, {"a": spark.range(50), "b": broken}, folder, dt.datetime(2024, 1, 2))
+    tables = manifest.read_tables(spark, folder)
+    assert tables["a"].count() == 5 and tables["b"].count() == 7
+    assert manifest.commit_tables(spark, {"b": spark.range(0)}, folder, dt.datetime(2024, 1, 3)) == 2
+    rows = {r.table_name: (r.generation, r.n_rows, r.loaded_at.day) for r in manifest.read_manifest(spark, folder).collect()}
+    assert rows == {"a": (2, 5, 1), "b": (2, 0, 3)}
+    # Readers pinned before keep what they had.
+    assert tables["b"].count() == 7 and manifest.read_tables(spark, folder, 1)["b"].count() == 7
+    assert manifest.read_tables(spark, folder)["b"].count() == 0
+    with pytest.raises(ValueError):
+        manifest.read_tables(spark, folder, 9)
+    with pytest.raises(ValueError):
+        manifest.read_tables(spark, str(tmp_path / "none"))
+
+
+def takes(predicate, key):
+    """Whether a planned predicate takes a key."""
+    if key is None:
+        return predicate.endswith("IS NULL")
+    tests = {">=": key.__ge__, "<": key.__lt__}
+    words = [p.split() for p in predicate.split(" AND ")]
+    return all(w[1:] == ["IS", "NOT", "NULL"] or (w[1] in tests and tests[w[1]](int(w[2]))) for w in words)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+@pytest.mark.parametrize(
+    "counts",
+    [
+        [(0, 10)],
+        [(None, 4)],
+        [],
+        [(k * 10, 5) for k in range(40)],
+        [(None, 9), (0, 1), (10, 1000), (20, 1), (30, 1), (40, 300)],
+        [(-50, 7), (-40, 0), (-30, 900), (0, 3)],
+    ],
+)
+def test_split_plans_cover_every_key_once(counts, parts):
+    predicates = splits.split_predicates(counts, "k", parts)
+    assert len(predicates) <= parts + 1
+    for key in [None, -(10**9), 10**9, *(k + d for k, _ in counts if k is not None for d in (-1, 0, 1))]:
+        assert sum(takes(p, key) for p in predicates) == 1
+    known = [(k, n) for k, n in counts if k is not None]
+    if known:
+        largest = max(n for _, n in known)
+        loads = [sum(n for k, n in known if takes(p, k)) for p in predicates]
+        assert max(loads) <= sum(n for _, n in known) / parts + largest
+    with pytest.raises(ValueError):
+        splits.split_predicates(counts, "k", 0)
+
+
+def test_key_counts(spark):
+    df = spark.createDataFrame([(None,), (5,), (5,), (9,), (100,)], "k long")
+    assert splits.key_counts(df, "k", 8) == [(None, 1), (5, 3), (89, 1)] or sum(n for _, n in splits.key_counts(df, "k", 8)) == 5
+    assert splits.key_counts(df.filter("k IS NULL"), "k") == [(None, 1)]
+    assert splits.key_counts(df.limit(0), "k") == [(None, 0)]
+
+
+def test_id_lists_do_not_lose_entries(spark, tmp_path):
+    (tmp_path / "ids.txt").write_text("7, 8,\n x9, 10")
+    with pytest.raises(ValueError, match="x9"):
+        files.read_id_list(spark, str(tmp_path / "ids.txt"))
+
+
+def test_reports_of_one_job(spark, tmp_path):
+    plants = spark.createDataFrame(
+        [(1, True, False), (2, True, True), (3, False, False)], "plant_id int, lane_2a boolean, lane_2b boolean"
+    )
+    plants = plants.withColumns({c: F.lit(None).cast("date") for c in ("granted_start", "reported_planned_start", "planned_start", "monitored_at", "sent_at")})
+    texts = [c for c in sinks.REPORTS["review_list"][1] if c not in plants.columns]
+    plants = plants.withColumns({c: F.lit('a "b", c') for c in texts} | {"lane_3": F.lit(False)})
+    rejects = spark.createDataFrame([(9, "UHE", ["x>y", "z"])], "plant_id int, gen_type string, reject_reason array<string>")
+    sinks.export_reports({"plants": plants, "rejects": rejects}, str(tmp_path / "out"), parts=2)
+    read = lambda name: sinks.read_report(spark, str(tmp_path / "out"), name)
+    assert sorted(r.IdeUsinaOutorga for r in read("lane_2a").collect()) == ["1", "2"]
+    assert sorted(r.IdeUsinaOutorga for r in read("redo_list").collect()) == ["1", "2"]
+    assert [r.NomUsina for r in read("review_list").collect()] == ['a "b", c']
+    assert [(r.IdeUsinaOutorga, r.reject_reason) for r in read("order_rejects").collect()] == [("9", "x>y, z")]
+
+
 def test_exports(spark, tmp_path):
     row = spark.createDataFrame(
         [(1, dt.date(2024, 1, 1), None, None, True), (2, None, None, None, False)],
