@@ -49,6 +49,8 @@ PART_BYTES = 1_000_000
 PART_WORDS = 150_000
 GROUP_ROWS = 20_000
 GROUP_BYTES = 8_000_000
+# Lists of large anchors up to this number are broadcast, longer ones are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 NO_KEY = 2**63 - 1
 _BLANKS = r"[\x20\x09-\x0D]+"
 _BASE = 0x9E3779B97F4A7C15
@@ -177,9 +179,14 @@ def met(anchors: DataFrame, group_rows: int) -> DataFrame:
     ``classes`` bounds the different contexts of the anchor; one class needs no extension.
     """
     sizes = staged(anchors.groupBy("anchor").agg(F.count("*").alias("classes")).filter("classes > 1"))
+    large = sizes.filter(F.col("classes") > group_rows).select("anchor")
+    n_large = large.count()
+    listed = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
+    # Rows of large anchors leave before the rest is dealt by anchor.
+    rest = anchors.join(listed, "anchor", "left_anti") if n_large else anchors
     own = Window.partitionBy("anchor")
     several = F.min("context").over(own) != F.max("context").over(own)
-    usual = anchors.join(sizes.filter(F.col("classes") <= group_rows), "anchor").select(
+    usual = rest.join(sizes.filter(F.col("classes") <= group_rows).hint("merge"), "anchor").select(
         "rank",
         "print",
         "anchor",
@@ -187,10 +194,9 @@ def met(anchors: DataFrame, group_rows: int) -> DataFrame:
         F.min("rank").over(Window.partitionBy("anchor", "context")).alias("least"),
         F.when(several, F.col("classes")).otherwise(1).alias("classes"),
     )
-    large = sizes.filter(F.col("classes") > group_rows).select("anchor")
-    if large.isEmpty():
+    if not n_large:
         return usual
-    hot = anchors.join(large, "anchor")
+    hot = anchors.join(listed, "anchor")
     contexts = hot.groupBy("anchor", "context").agg(F.min("rank").alias("least"))
     counted = contexts.groupBy("anchor").agg(F.count("*").alias("classes"))
     hot = hot.join(contexts.join(counted, "anchor"), ["anchor", "context"])
@@ -426,7 +432,8 @@ def remove_repeats(
     if not 0 < seed <= window:
         raise ValueError("a seed has one word at least and fits into a window")
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("rank"), normal(F.col(text)).alias("data"))
-    # Key and print tell rows apart that are not equal in key and words.
+    # Key and print tell rows apart that are not equal in key and words. The joins below have one
+    # plan for every size, so the exchange of the texts is shared by both that need them.
     texts = texts.select("rank", F.xxhash64("data").alias("print"), "data")
     anchors = staged(
         texts.mapInArrow(_anchors(window, seed), "rank long, print long, anchor long, context long, at int, lo int, hi int")
@@ -440,7 +447,7 @@ def remove_repeats(
         marks = chosen.groupBy("rank", "print").agg(
             F.collect_list(F.struct("anchor", "classes", "at", "lo", "hi")).alias("marks")
         )
-        return texts.join(marks, ["rank", "print"]).mapInArrow(
+        return texts.join(marks.hint("merge"), ["rank", "print"]).mapInArrow(
             _segments(window, seed),
             "rank long, print long, anchor long, classes long, at int, lo int, hi int, left binary, right binary",
         )
@@ -461,7 +468,7 @@ def remove_repeats(
         hot = single.join(owners.filter("least < most"), ["anchor", "words"]).filter("rank > least")
         spans = spans.unionAll(hot.select("rank", "print", "first", (F.col("first") + window).cast("int").alias("end")))
     spans = spans.groupBy("rank", "print").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
-    cut = texts.join(spans, ["rank", "print"], "left").mapInArrow(
+    cut = texts.join(spans.hint("merge"), ["rank", "print"], "left").mapInArrow(
         _kept, "rank long, n_words long, n_removed long, repeats array<struct<first:int,end:int>>, kept binary"
     )
     own = F.when(F.col("rank") != NO_KEY, F.col("rank")).cast(docs.schema[key].dataType)
