@@ -10,18 +10,26 @@ from milepost.operators.ranks import numbered, unused
 
 
 def pick_row(
-    df: DataFrame, keys: list[str], by: str, ties: list[str] = (), largest: bool = True
+    df: DataFrame,
+    keys: list[str],
+    by: str,
+    ties: list[str] = (),
+    largest: bool = True,
+    keep_unknown: bool = False,
 ) -> DataFrame:
-    """One whole row per key: the largest (or smallest) ``by``, rows without it ignored.
+    """One whole row per key: the largest (or smallest) ``by``.
 
     Equal rows are settled by the tie columns in the same direction, without tie columns by
-    all others, so the choice never depends on the order of arrival.
+    all others, so the choice never depends on the order of arrival. Rows without ``by`` are
+    ignored; with ``keep_unknown`` they are taken for keys that have no others.
     """
     rest = [c for c in df.columns if c not in keys]
     ties = list(ties) or [c for c in rest if c != by]
+    known = F.col(by).isNotNull() if largest else F.col(by).isNull()
     choose = F.max_by if largest else F.min_by
-    best = choose(F.struct(*rest), F.struct(by, *ties)).alias("_row")
-    return df.filter(F.col(by).isNotNull()).groupBy(*keys).agg(best).select(*keys, "_row.*")
+    order = F.struct(*([known.alias("known")] if keep_unknown else []), by, *ties)
+    rows = df if keep_unknown else df.filter(F.col(by).isNotNull())
+    return rows.groupBy(*keys).agg(choose(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*")
 
 
 def latest_batch(df: DataFrame, key: str, ts: str) -> DataFrame:

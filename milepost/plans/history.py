@@ -11,7 +11,7 @@ from milepost.operators.aggregates import collapse_units
 from milepost.operators.joins import lookup
 from milepost.operators.mapping import apply_mapping
 from milepost.operators.setops import union_with_origin
-from milepost.plans.model import REGULATED
+from milepost.plans.model import PHASES, REGULATED
 from milepost.session import staged
 
 # Legacy column -> column of the common layout. The pairs are the
@@ -76,5 +76,29 @@ def legacy_history(legacy: DataFrame, types: DataFrame) -> DataFrame:
     return collapse_units(typed, "unit_mw", "legacy_units")
 
 
+# Columns of the merged history, whatever the origin of a row.
+HISTORY_COLUMNS = [
+    "plant_id", "gen_type", "market", "obligation_date", "commercial_date",
+    *PHASES.values(), "unit_count", "total_power",
+]
+# What settles equal operation dates of a plant, the older records first.
+HISTORY_ORDER = ["origin", "total_power", "unit_count", *PHASES.values(), "obligation_date", "market"]
+
+
+def merged_history(
+    legacy: DataFrame, types: DataFrame, units: DataFrame, plants: DataFrame, auctions: DataFrame
+) -> DataFrame:
+    """Both origins in one layout, with all milestones, the market and where a row came from.
+
+    Registry units bring their test and operation dates, plants all other milestones; legacy
+    rows bring all of their own and take their generation type from ``types``.
+    """
+    own = ["plant_id", "unit_mw", "test_date", "commercial_date", "granted_commercial"]
+    shared = ["plant_id", "gen_type", "market", *(m for m in PHASES.values() if m not in own)]
+    registry = registry_history(units.select(*own), plants.select(*shared), auctions)
+    both = {"legacy": legacy_history(legacy, types), "registry": registry}
+    return combine_history(*[df.select(*HISTORY_COLUMNS) for df in both.values()])
+
+
 def combine_history(legacy: DataFrame, registry: DataFrame) -> DataFrame:
     return union_with_origin({"legacy": legacy, "registry": registry})

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from milepost.plans.forecast import forecast
+from milepost.plans.history import HISTORY_ORDER, merged_history
 from milepost.plans.rules_plant import assemble_plants, plant_states
 from milepost.plans.rules_unit import (
     assemble_units,
@@ -27,6 +28,19 @@ def train(
     return Training(staged(clean_history(units, order)), cut_off)
 
 
+def train_merged(
+    legacy: DataFrame,
+    types: DataFrame,
+    units: DataFrame,
+    plants: DataFrame,
+    auctions: DataFrame,
+    cut_off: dt.date = CUT_OFF,
+) -> tuple[DataFrame, Training]:
+    """Merge legacy and registry records, then train: the merged history and the training run."""
+    merged = staged(merged_history(legacy, types, units, plants, auctions))
+    return merged, train(merged, HISTORY_ORDER, cut_off)
+
+
 @dataclass
 class Snapshot:
     """The tables of one snapshot of the registry and the self-reports."""

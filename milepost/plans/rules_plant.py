@@ -49,15 +49,17 @@ def assemble_plants(
 ) -> DataFrame:
     """Monitored plants with their first auction and their newest report of each kind.
 
-    Every right side is an aggregate on the plant, already laid out by plant: only the
-    registry itself is exchanged for the five joins.
+    Every right side is an aggregate on the plant, already laid out and sorted by plant: only
+    the registry itself is exchanged for the five joins, which then run in one stage. Asking
+    for merge joins keeps it so; as broadcasts they would run in as few tasks as the registry
+    has files.
     """
-    rows = plants.filter(monitored(F.col("plant_monitored"))).join(
-        first_supply(auctions.filter(F.col("supply_date").isNotNull())), "plant_id", "left"
-    )
-    rows = rows.join(latest_report(schedule, ties), "plant_id", "left")
-    for reports in (contracts, licences, access):
-        rows = rows.join(latest_report(reports, ties).drop("sent_at", *ties), "plant_id", "left")
+    supply = first_supply(auctions.filter(F.col("supply_date").isNotNull()))
+    sides = [supply, latest_report(schedule, ties)]
+    sides += [latest_report(r, ties).drop("sent_at", *ties) for r in (contracts, licences, access)]
+    rows = plants.filter(monitored(F.col("plant_monitored")))
+    for side in sides:
+        rows = rows.join(side.hint("merge"), "plant_id", "left")
     return rows.drop(*ties).withColumn("no_report", F.col("sent_at").isNull())
 
 

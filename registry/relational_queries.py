@@ -717,13 +717,12 @@ def _(t):
 
 @query(
     "distinct_by_key",
-    """SELECT plant_id, unit_no, planned_commercial FROM (SELECT *, row_number() OVER
-        (PARTITION BY plant_id ORDER BY unit_no, planned_commercial) AS rn FROM reg_unit_fx
-        WHERE unit_no IS NOT NULL) WHERE rn = 1""",
+    """SELECT plant_id, planned_commercial, unit_no FROM (SELECT *, row_number() OVER
+        (PARTITION BY plant_id ORDER BY planned_commercial NULLS LAST, unit_no) AS rn FROM reg_unit_fx) WHERE rn = 1""",
 )
 def _(t):
-    rows = t.reg_unit_fx.select("plant_id", "unit_no", "planned_commercial")
-    return pick.pick_row(rows, ["plant_id"], "unit_no", ["planned_commercial"], largest=False)
+    rows = t.reg_unit_fx.select("plant_id", "planned_commercial", "unit_no")
+    return pick.pick_row(rows, ["plant_id"], "planned_commercial", ["unit_no"], largest=False, keep_unknown=True)
 
 
 @query(

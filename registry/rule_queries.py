@@ -11,7 +11,8 @@ from milepost.operators.aggregates import value_counts
 from milepost.plans import rules_plant as rp
 from milepost.plans import rules_unit as ru
 from milepost.plans import rules_verdict as rv
-from milepost.plans import texts
+from milepost.plans import batch, texts, training
+from milepost.plans import forecast as fc
 from milepost.plans.pipelines import (
     Snapshot,
     forecast_and_review,
@@ -19,8 +20,9 @@ from milepost.plans.pipelines import (
     review_plants,
     review_units,
 )
-from milepost.session import staged
+from milepost.session import SmallTable, stage_folder, staged
 from milepost.sources import sinks
+from registry import review_queries as rq
 from registry.base import STEPS, query, steps
 from registry.training_queries import trained
 
@@ -317,3 +319,69 @@ def _(t):
         "plant_id", "criterion_text", "justification_new", "phase_max", "official_source",
         F.col("official_date_lead").cast("date").alias("official_date_lead"), *rv.LANES,
     )
+
+
+_LANES = ["lane_1", "lane_2a", "lane_2b", "lane_3"]
+_REDO = "SELECT plant_id FROM run_rv_plants WHERE lane_2a OR lane_2b"
+
+
+@query(
+    "batch_status",
+    f"""SELECT 1 AS stage, DATE '2000-06-15' AS as_of, count(*) AS plants,
+        (SELECT count(*) FROM run_ru_units u JOIN run_rv_plants p ON p.plant_id = u.plant_id) AS units,
+        (SELECT count(*) FROM fc_input WHERE market = 'ACR' AND supply_date IS NULL) AS set_aside,
+        {", ".join(f"count(*) FILTER ({x}) AS {x}" for x in _LANES)} FROM run_rv_plants
+       UNION ALL SELECT 2, DATE '2000-06-15', count(*),
+        (SELECT count(*) FROM ({_REDO}) r LEFT JOIN run_ru_units u ON u.plant_id = r.plant_id),
+        (SELECT count(*) FROM fc_input WHERE market = 'ACR' AND supply_date IS NULL), count(*), 0, 0, 0 FROM ({_REDO})""",
+)
+def _(t):
+    """Both stages of a batch, to files, and its status rows."""
+    folder, table = stage_folder(t.spark), staged(trained(t).coefficient_table())
+    batch.stage_one(snapshot(t), table, AS_OF, folder, "june")
+    batch.stage_two_batch(snapshot(t), table, AS_OF, folder, "june")
+    return batch.batch_status(t.spark, folder).drop("batch")
+
+
+@query(
+    "all_reports",
+    f"""SELECT 'lane_1' AS report, count(*) AS n FROM run_ru_units u JOIN run_rv_plants p ON p.plant_id = u.plant_id WHERE p.lane_1
+       UNION ALL SELECT 'lane_2a', count(*) FROM run_rv_plants WHERE lane_2a
+       UNION ALL SELECT 'review_list', count(*) FROM run_rv_plants WHERE lane_2b OR lane_3
+       UNION ALL SELECT 'redo_list', count(*) FROM ({_REDO})
+       UNION ALL SELECT 'forecast', count(*) FROM fc_final
+       UNION ALL SELECT 'quarantine', count(*) FROM fc_input WHERE market = 'ACR' AND supply_date IS NULL
+       UNION ALL SELECT 'todo', count(*) FROM status WHERE NOT done
+       UNION ALL SELECT 'check_start', count(*) FROM start_checks WHERE check_start AND done
+       UNION ALL SELECT 'check_justification', count(*) FROM just_checks
+       UNION ALL SELECT 'check_dates', count(*) FROM date_checks
+       UNION ALL SELECT 'coefficients', count(*) FROM coef
+       UNION ALL SELECT 'training_rows', count(*) FROM delays
+       UNION ALL SELECT 'test_forecasts', count(*) FROM casts WHERE NOT is_train AND level = 'Ambos'
+       UNION ALL SELECT 'order_rejects', count(*) FROM judged WHERE reject_reason <> ''
+       UNION ALL SELECT 'public_data', count(*) FROM history""",
+)
+def _(t):
+    """Every report of every result table, written in one job and read back."""
+    run = trained(t)
+    table = staged(run.coefficient_table())
+    plants, units, quarantine = forecast_and_review(snapshot(t), table, AS_OF)
+    scored, _ = fc.forecast(t.reg_unit_fx, t.plant_fx, t.auction_fx, table, AS_OF)
+    tables = {
+        "plants": plants,
+        "units": units,
+        "forecasts": scored,
+        "quarantine": quarantine,
+        "review": rq.starts_of(t),
+        "justifications": rq.justifications_of(t),
+        "dates": rq.dates_of(t),
+        "coefficients": table,
+        "training": run.delays,
+        "backcast": training.backcast(run.delays, SmallTable(run.fit())),
+        "rejects": training.check_order(training.phase_durations(t.unit_fx))[1],
+        "history": run.history,
+    }
+    folder, parts = stage_folder(t.spark), 4
+    sinks.export_reports(tables, folder, parts)
+    lines = t.spark.read.text(folder).groupBy("report").agg(F.count("*").alias("n"))
+    return lines.select("report", (F.col("n") - parts).alias("n"))

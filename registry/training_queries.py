@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
 from milepost.plans import training
 from milepost.plans.model import SEGMENT
-from milepost.plans.pipelines import train
+from milepost.plans.pipelines import train, train_merged
 from milepost.session import SmallTable
-from registry.base import query, steps
+from registry.base import STEPS, query, steps
 
 CUT_OFF = dt.date(2000, 1, 1)
 ORDER = ["unit_no", "ep"]
@@ -347,3 +348,84 @@ def _(t):
 )
 def _(t):
     return training.correlations(trained(t).fit())
+
+
+# --- legacy and registry records merged, then trained as one ------------------
+
+_MILESTONES = ["start_date", "concrete_date", "assembly_date", "test_date"]
+_MERGED = ["plant_id", "gen_type", "market", "obligation_date", "commercial_date", *_MILESTONES, "unit_count", "total_power"]
+_MERGED_ORDER = ", ".join(
+    f"{c} NULLS FIRST" for c in ["origin", "total_power", "unit_count", *_MILESTONES, "obligation_date", "market"]
+)
+
+
+def _merged_step(text: str) -> str:
+    """A training step over the merged history in place of the finished units."""
+    for name in _CHAIN:
+        text = re.sub(rf"\b{name}\b", f"mg_{name}", text)
+    text = text.replace("unit_fx", "mg_finished").replace("commercial_date, unit_no, ep", f"commercial_date, {_MERGED_ORDER}")
+    return text
+
+
+_CHAIN = [
+    "durations", "judged", "history", "history_tagged", "obs_phase", "obs", "stats_first", "flagged", "stats", "delays",
+    "fit_pairs", "fit_table", "coef",
+]
+
+steps(
+    mg_legacy="""SELECT 'legacy' AS origin, u.plant_id, p.gen_type, u.market, u.obligation_date, u.commercial_date, u.start_date,
+ u.concrete_date, coalesce(u.assembly_date, u.start_date + 30) AS assembly_date, u.test_date, CAST(sum(3) AS BIGINT) AS unit_count,
+ coalesce(sum(u.unit_mw), 0.0) AS total_power
+ FROM unit_fx u LEFT JOIN plant_fx p ON p.plant_id = u.plant_id GROUP BY ALL""",
+    mg_sold="""SELECT p.*, a.supply_date FROM plant_fx p JOIN
+ (SELECT plant_id, min(supply_date) AS supply_date FROM auction_fx GROUP BY plant_id) a ON p.plant_id = a.plant_id""",
+    mg_units="""SELECT plant_id, test_date, commercial_date, granted_commercial, CAST(count(unit_mw) AS BIGINT) AS unit_count,
+ coalesce(sum(unit_mw), 0.0) AS total_power FROM reg_unit_fx GROUP BY ALL""",
+    mg_registry="""SELECT 'registry' AS origin, coalesce(u.plant_id, p.plant_id) AS plant_id, p.gen_type, p.market,
+ CASE WHEN p.market = 'ACR' THEN p.supply_date ELSE u.granted_commercial END AS obligation_date, u.commercial_date, p.start_date,
+ p.concrete_date, p.assembly_date, u.test_date, u.unit_count, u.total_power
+ FROM mg_units u FULL JOIN mg_sold p ON p.plant_id = u.plant_id""",
+    mg_all="SELECT * FROM mg_legacy UNION ALL SELECT * FROM mg_registry",
+    mg_finished="SELECT * FROM mg_all WHERE obligation_date IS NOT NULL AND commercial_date IS NOT NULL AND plant_id IS NOT NULL",
+)
+steps(**{f"mg_{name}": _merged_step(STEPS[name]) for name in _CHAIN})
+
+
+def merged(t):
+    """Both origins: finished units as legacy records in their own column names and texts."""
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd").cast("date")
+    first = (F.col("unit_no") % 10).cast("string")
+    legacy = t.unit_fx.select(
+        F.col("plant_id").cast("string").alias("Idempreendimento"),
+        F.concat(F.lit("0"), first, F.lit(" a "), (F.col("unit_no") % 10 + 2).cast("string")).alias("Num_UG"),
+        F.col("unit_mw").cast("string").alias("Pot_UG"),
+        F.col("obligation_date").alias("OpCom_Outor_UG"),
+        F.col("test_date").alias("OpTest_R_UG"),
+        iso("commercial_date").alias("OpCom_R_UG"),
+        F.col("start_date").alias("Obras_Real"),
+        F.col("concrete_date").alias("Concretagem_Real"),
+        F.col("assembly_date").alias("Montagem_Real"),
+        F.date_add("start_date", 30).alias("Torres_Real"),
+        F.col("market").alias("DscComercializacaoEnergia"),
+    )
+    types = t.plant_fx.select("plant_id", "gen_type", F.col("plant_id").alias("entry_no"))
+    return train_merged(legacy, types, t.reg_unit_fx, t.plant_fx, t.auction_fx, CUT_OFF)
+
+
+@query("merged_history", f"SELECT origin, {', '.join(_MERGED)} FROM mg_all")
+def _(t):
+    return merged(t)[0].select("origin", *_MERGED)
+
+
+@query("merged_training", _merged_step(_COEF))
+def _(t):
+    table = merged(t)[1].coefficient_table().drop("r")
+    return rounded(rounded(table, 6, "a"), 4, "mean_days", "std_days", "b", "mean_delay", "std_delay")
+
+
+@query(
+    "merged_first_units",
+    """SELECT unit_key, plant_id, gen_type, market, commercial_date, CAST(delay AS DOUBLE) AS delay FROM mg_history""",
+)
+def _(t):
+    return merged(t)[1].history.select("unit_key", "plant_id", "gen_type", "market", "commercial_date", "delay")
