@@ -9,6 +9,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from milepost import session
+
+
+# Settings of these operators, over those of the session.
+_SETTINGS = {
+    # Whole texts go to Python workers a few megabytes at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # A side is broadcast by its measured size: of a stage, or of the files of a stage table.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings that the operators rely on."""
+    session.tune(spark)
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often the body names it."""

@@ -21,8 +21,7 @@ from milepost.llm import (
     toxicity,
     warc,
 )
-from milepost.llm.common import table
-from milepost.session import tune
+from milepost.llm.common import table, tune
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
