@@ -90,30 +90,40 @@ def split_by_date(df: DataFrame, cut_off: dt.date = CUT_OFF) -> tuple[DataFrame,
 # --- observations -------------------------------------------------------------
 
 
+def _own_level() -> Column:
+    """The market level of a row besides that of all markets; only the two named ones have one."""
+    return F.when(F.col("market").isin(LEVELS[1:]), F.col("market"))
+
+
+def _exploded(history: DataFrame, more: dict[tuple[str, str], dict[str, Column]]) -> DataFrame:
+    """One row per plant, phase and market level it counts for.
+
+    ``more`` has further columns by phase and level, ``own`` standing for the row's own level.
+    """
+    both = {"all": F.lit(ALL_MARKETS), "own": _own_level()}
+    entries = [
+        F.struct(
+            F.lit(p).alias("phase"),
+            F.col(m).alias("milestone_date"),
+            F.col(f"days_{p}").alias("days"),
+            level.alias("level"),
+            *[c.alias(name) for name, c in more.get((p, kind), {}).items()],
+        )
+        for kind, level in both.items()
+        for p, m in PHASES.items()
+    ]
+    taken = [*PHASES.values(), *[f"days_{p}" for p in PHASES]]
+    kept = [c for c in history.columns if c not in taken]
+    return history.select(*kept, F.inline(F.array(*entries))).filter(F.col("level").isNotNull())
+
+
 def observations(history: DataFrame, cut_off: dt.date = CUT_OFF) -> DataFrame:
     """One row per plant, phase and market level it counts for.
 
     Every row counts for the level of all markets; only the two named markets have a
     level of their own.
     """
-    phases = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("phase"),
-                F.col(m).alias("milestone_date"),
-                F.col(f"days_{p}").alias("days"),
-            )
-            for p, m in PHASES.items()
-        ]
-    )
-    own = F.when(F.col("market").isin(LEVELS[1:]), F.array(F.lit(ALL_MARKETS), F.col("market")))
-    levels = F.coalesce(own, F.array(F.lit(ALL_MARKETS)))
-    return (
-        history.withColumn("is_train", F.col("commercial_date") < day(cut_off))
-        .select("*", F.inline(phases))
-        .withColumn("level", F.explode(levels))
-        .drop(*PHASES.values(), *[f"days_{p}" for p in PHASES])
-    )
+    return _exploded(history.withColumn("is_train", F.col("commercial_date") < day(cut_off)), {})
 
 
 def _spread(obs: DataFrame) -> DataFrame:
@@ -124,17 +134,34 @@ def _spread(obs: DataFrame) -> DataFrame:
     )
 
 
-def flag_outliers(obs: DataFrame, z: float = TRIM_Z) -> DataFrame:
-    """Mark durations outside the training spread of their segment, test rows included."""
-    first = _spread(obs.filter("is_train")).select(
-        *SEGMENT, F.col("mean_days").alias("_m"), F.col("std_days").alias("_s")
-    )
-    return (
-        SmallTable(first)
-        .join(obs, SEGMENT)
-        .withColumn("outlier", outside(F.col("days"), F.col("_m"), F.col("_s"), z))
-        .drop("_m", "_s")
-    )
+def flag_outliers(history: DataFrame, cut_off: dt.date = CUT_OFF, z: float = TRIM_Z) -> DataFrame:
+    """Observations marked outside the training spread of their segment, test rows included.
+
+    The bounds of all phases lie in one row per type and level, so each plant is judged while it
+    is one row: ``any_outlier`` tells whether it has an outlier in any phase at any level.
+    """
+    first = _spread(observations(history, cut_off).filter("is_train"))
+    wide = [
+        F.max(F.when(F.col("phase") == p, F.col(c))).alias(f"{c}_{p}")
+        for p in PHASES
+        for c in ("mean_days", "std_days")
+    ]
+    bounds = SmallTable(first.groupBy("gen_type", "level").agg(*wide))
+    rows = history.withColumns({"is_train": F.col("commercial_date") < day(cut_off), "_own": _own_level()})
+    every = bounds.df.filter(F.col("level") == ALL_MARKETS).drop("level")
+    own = bounds.df.withColumnsRenamed({f"{c}_{p}": f"own_{c}_{p}" for p in PHASES for c in ("mean_days", "std_days")})
+    rows = rows.join(every, "gen_type", "left")
+    rows = rows.join(own.withColumnRenamed("level", "_own"), ["gen_type", "_own"], "left")
+    flags = {
+        (p, kind): outside(F.col(f"days_{p}"), F.col(f"{side}mean_days_{p}"), F.col(f"{side}std_days_{p}"), z)
+        for p in PHASES
+        for kind, side in (("all", ""), ("own", "own_"))
+    }
+    names = {key: f"_out_{key[1]}_{key[0]}" for key in flags}
+    rows = rows.select(*history.columns, "is_train", *[c.alias(names[key]) for key, c in flags.items()])
+    rows = rows.withColumn("any_outlier", any_of(*[F.col(n) for n in names.values()]))
+    marked = _exploded(rows, {key: {"outlier": F.col(n)} for key, n in names.items()})
+    return marked.drop(*names.values())
 
 
 def trimmed_stats(flagged: DataFrame) -> DataFrame:
@@ -154,16 +181,9 @@ def milestone_delay(obs: DataFrame, stats: SmallTable) -> DataFrame:
     )
 
 
-def plant_outliers(flagged: DataFrame) -> DataFrame:
-    """Plants with an outlier in any phase at any level."""
-    return flagged.filter("outlier").select("unit_key").distinct()
-
-
 def delay_means(delays: DataFrame) -> DataFrame:
     """Mean milestone delay against the own-market expectation, per market and per type."""
-    kept = delays.filter(F.col("level") != ALL_MARKETS).join(
-        plant_outliers(delays), "unit_key", "left_anti"
-    )
+    kept = delays.filter((F.col("level") != ALL_MARKETS) & ~F.col("any_outlier"))
     sets = kept.groupingSets(
         [("gen_type", "phase", "level"), ("gen_type", "phase")], "gen_type", "phase", "level"
     )
@@ -198,7 +218,7 @@ class Training:
     def __init__(self, history: DataFrame, cut_off: dt.date = CUT_OFF, z: float = TRIM_Z):
         self.history = history
         self.z = z
-        self.flagged = flag_outliers(observations(history, cut_off), z)
+        self.flagged = flag_outliers(history, cut_off, z)
         self.stats = SmallTable(trimmed_stats(self.flagged))
         self.delays = milestone_delay(self.flagged, self.stats)
 
@@ -245,7 +265,7 @@ def rmse(cast: DataFrame, train: bool = True) -> DataFrame:
     """
     rows = cast.filter(F.col("is_train") == F.lit(train))
     if train:
-        rows = rows.join(plant_outliers(cast), "unit_key", "left_anti")
+        rows = rows.filter(~F.col("any_outlier"))
     kind = F.when(F.col("level") == ALL_MARKETS, "all").otherwise("own")
     error = F.sqrt(F.avg(F.pow(F.floor("forecast_error").cast("double"), F.lit(2))))
     return (

@@ -14,13 +14,10 @@ _RUNTIME_SETTINGS = {
     # its partition even when that costs one more exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM leaves methods above 8000 bytes uncompiled. Long rule stages go over that
-    # as one fused method and then run several times slower than operator by operator.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A side is broadcast by its measured size: of a stage, or of the files of a stage table.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    # Rows of whole texts go to Python workers a few megabytes at a time.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Only small sides are broadcast, by their measured size: a broadcast of plants or units
+    # would leave the work to as few tasks as the other side has files.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "2m",
+    "spark.sql.codegen.hugeMethodLimit": "65535",
 }
 
 _DROP_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
