@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -179,3 +180,43 @@ def decode(coded: DataFrame, ranks_path: str, key: str = "doc_id") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "decoded", "decoded_text"])
 
     return coded.mapInArrow(decoded, ", ".join([*fields, "decoded binary", "decoded_text string"]))
+
+
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Per row the columns of ``encode``, ``ids_sha256``, and ``decoded_sha256`` of the ids decoded again.
+
+    Texts are encoded, decoded and hashed in one pass over Arrow batches, so neither ids nor
+    texts go through a second worker, and the decoded bytes leave a task as their hash only.
+    """
+    ranks = read_ranks(ranks_path)
+    shared = docs.sparkSession.sparkContext.broadcast((build_tokenizer(ranks), ranks))  # the vocabulary's size
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, tokens = None, []
+        for batch in batches:
+            if encoder is None:
+                encoder = Encoder(shared.value[0], pattern)
+                tokens = [b""] * (max(shared.value[1].values()) + 1)
+                for token, rank in shared.value[1].items():
+                    tokens[rank] = token
+            for part in pieces(batch, "_text", PART_BYTES):
+                rows = encoder.encode([x or "" for x in part.column("_text").to_pylist()], True)
+                ids = [a for a, _ in rows]
+                raw = (b"".join([tokens[i] for i in np.frombuffer(a, "<u4").tolist()]) for a in ids)
+                columns = [
+                    part.column("_key"),
+                    pa.array(ids, pa.binary()),
+                    pa.array([b for _, b in rows], pa.binary()),
+                    pa.array([len(a) // 4 for a in ids], pa.int64()),
+                    pa.array([hashlib.sha256(a).hexdigest() for a in ids], pa.string()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [key, "ids", "starts", "n_tokens", "ids_sha256", "decoded_sha256"]
+    kind = docs.schema[key].dataType.simpleString()
+    narrow = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
+    schema = f"`{key}` {kind}, ids binary, starts binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return narrow.mapInArrow(coded, schema)

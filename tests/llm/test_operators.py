@@ -310,6 +310,12 @@ def test_ids_offsets_and_round_trip(spark, odd_texts, tiktoken_encoding):
         assert np.frombuffer(row.ids, "<u4").tolist() == want and row.n_tokens == len(want)
         assert bytes(row.decoded) == (text or "").encode() and row.decoded_text == (text or "")
         assert np.frombuffer(row.starts, "<u4").tolist() == plain.decode_with_offsets(want)[1]
+    once = byte_bpe.round_trip(docs, path, pattern).orderBy("doc_id").collect()
+    for a, b in zip(rows, once, strict=True):
+        assert (a.doc_id, a.ids, a.starts, a.n_tokens) == (b.doc_id, b.ids, b.starts, b.n_tokens)
+        assert b.ids_sha256 == hashlib.sha256(a.ids).hexdigest()
+        assert b.decoded_sha256 == hashlib.sha256(a.decoded).hexdigest()
+    assert byte_bpe.round_trip(empty(spark), path, pattern).count() == 0
     assert byte_bpe.encode(empty(spark), path, pattern).count() == 0
 
 
