@@ -65,9 +65,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; n_chars follows."""
+    """Secrets are replaced in the texts; n_chars, where there is one, follows."""
     tune(spark)
     clean = secret_scan.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -75,15 +77,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each document, checked by decoding them again."""
     tune(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return coded.select(
-        "doc_id",
-        "n_tokens",
-        "ids",
-        "starts",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [
