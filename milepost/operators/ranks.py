@@ -46,6 +46,8 @@ def numbered(
     """
     if not groups:
         raise ValueError("numbered: at least one group column")
+    if {place, size} & set(df.columns):
+        raise ValueError("numbered: the new columns need names of their own")
     id_ = unused(df.columns, "_id")
     keys = [*(F.col(f"`{g}`") for g in groups), *([F.col(only).desc()] if only else []), *order]
     dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
