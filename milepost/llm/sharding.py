@@ -8,6 +8,7 @@ remaining capacity through a balanced tree.
 
 A null text counts as the empty text. Equal texts, nulls among them, go to one shard;
 repeated rows are rows of their own with a slot each. A null key is numbered like any other.
+Slots are places by partition offsets, so no task sees a whole shard.
 An empty table gives an empty result. Only key and text are read, so other columns cannot
 clash; a group above the capacity has a shard of its own.
 """
@@ -17,9 +18,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from milepost.operators.ranks import numbered
 from milepost.session import staged
 
 HEADER_BYTES = 16
@@ -173,7 +175,7 @@ def pack(
             F.unhex(F.sha2(whole, 256)).alias("digest"),
         )
     )
-    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     per_yard = shards or YARD_SHARDS
     yards = 1 if shards else max(1, math.ceil(total / (capacity * YARD_SHARDS)))
     buckets = per_yard * UNITS_PER_SHARD
@@ -205,22 +207,7 @@ def pack(
         .join(small(merged), ["yard", "bucket"], "left")
         .withColumn("shard", F.coalesce("own_shard", "bucket_shard"))
     )
-    return numbered(placed, n_rows).select(
+    placed = placed.select("key", "digest", "size", "crc", "shard")
+    return numbered(placed, ["shard"], ["key", "digest"], "slot", "shard_rows").select(
         F.col("key").alias(key), "size", F.col("crc").alias("text_crc32"), "shard", "slot"
     )
-
-
-def numbered(placed: DataFrame, n_rows: int) -> DataFrame:
-    """Slot of each row in its shard, numbered in cells of about the square root of all rows."""
-    cells = max(1, math.isqrt(n_rows))
-    cell: Column = F.pmod(F.xxhash64("key", "digest", "size"), F.lit(cells)).cast("int")
-    placed = placed.withColumn("cell", cell)
-    counts = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("shard", "cell").orderBy("key", "digest")
-    return (
-        placed.withColumn("place", F.row_number().over(inside) - 1)
-        .join(offsets, ["shard", "cell"])
-        .withColumn("slot", (F.col("place") + F.col("offset")).cast("long"))
-    )
