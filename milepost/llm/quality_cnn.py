@@ -173,20 +173,27 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 0) -> dict[str, np.nd
 def training_rows(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int = TRAIN_ROWS
 ) -> tuple[list[bytes], list[int]]:
-    """A bounded sample of labelled texts outside the held-out rows."""
+    """A bounded sample of labelled texts outside the held-out rows.
+
+    A text that does not fit into what is left of ``TRAIN_BYTES`` is passed over, those after it
+    are not. Rows of both labels of which only one fits raise an error.
+    """
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
     # ``most`` keys: small enough to be sent to every task.
     known = known.orderBy(F.xxhash64("_key"), "_key").limit(most)
     rows = docs.select(docs[key].alias("_key"), F.coalesce(docs[text], F.lit("")).alias("_text"))
     rows = rows.join(F.broadcast(known), "_key").orderBy(F.xxhash64("_key"), "_key", "_text").limit(most)
-    texts, marks, size = [], [], 0
+    texts, marks, size, seen = [], [], 0, set()
     for row in rows.select(F.col("_text").cast("binary").alias("t"), "_label").toLocalIterator():
+        seen.add(row["_label"])
+        if size + len(row["t"]) > TRAIN_BYTES:
+            continue
         size += len(row["t"])
-        if texts and size > TRAIN_BYTES:
-            break
         texts.append(bytes(row["t"]))
         marks.append(row["_label"])
+    if len(set(marks)) < len(seen):
+        raise ValueError(f"no labelled text of each label fits into {TRAIN_BYTES} bytes")
     return texts, marks
 
 

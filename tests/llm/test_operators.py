@@ -107,6 +107,21 @@ def test_network_learns_and_covers_whole_texts(spark):
     assert quality_cnn.score(empty(spark), net).count() == 0
 
 
+def test_a_text_beyond_the_sample_does_not_end_it(spark, monkeypatch):
+    monkeypatch.setattr(quality_cnn, "TRAIN_BYTES", 20_000)
+    rng = np.random.default_rng(6)
+    texts = [words(rng, 30) if i % 2 else "$$$ ".join(words(rng, 30).split()) for i in range(60)]
+    for i in range(0, 60, 7):
+        texts[i] = "x" * 30_000
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    sample, marks = quality_cnn.training_rows(docs_of(spark, texts), labels, "doc_id", "text", "quality")
+    held = {i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1}
+    assert len(sample) == len([i for i in range(60) if i not in held and i % 7]) and set(marks) == {0, 1}
+    long = [t if i % 2 else "x" * 30_000 for i, t in enumerate(texts)]
+    with pytest.raises(ValueError):
+        quality_cnn.training_rows(docs_of(spark, long), labels, "doc_id", "text", "quality")
+
+
 def test_blocks_do_not_change_scores(monkeypatch):
     net, rng = quality_cnn.start_weights(), np.random.default_rng(0)
     sizes = [0, 3, 511, 512, 513, 9_000, 70_000]
