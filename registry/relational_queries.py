@@ -841,11 +841,35 @@ def _(t):
 
 @query(
     "decode_escapes",
-    "SELECT p_partkey, replace(replace(p_type, ' ', ' '), '/', '/') AS p_type FROM part",
+    """SELECT p_partkey, p_name || CASE p_partkey % 6 WHEN 0 THEN ' ' WHEN 1 THEN '(' WHEN 2 THEN ')' WHEN 3 THEN '/'
+        WHEN 4 THEN '=' ELSE ',' END || p_type || ' x0020_ ' AS label FROM part""",
 )
 def _(t):
-    coded = F.replace(F.replace("p_type", F.lit(" "), F.lit("_x0020_")), F.lit("/"), F.lit("_x002F_"))
-    return t.part.select("p_partkey", text.decode_escapes(coded).alias("p_type"))
+    codes = ["_x0020_", "_x0028_", "_x0029_", "_x002F_", "_x003D_", "_x002C_"]
+    code = F.element_at(F.array(*map(F.lit, codes)), (F.col("p_partkey") % 6 + 1).cast("int"))
+    spaced = F.concat(F.replace("p_name", F.lit(" "), F.lit("_x0020_")), code, F.replace("p_type", F.lit(" "), F.lit("_x0020_")))
+    return t.part.select("p_partkey", text.decode_escapes(F.concat(spaced, F.lit(" x0020_ "))).alias("label"))
+
+
+@query(
+    "split_digits",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_linenumber % 4 IN (0, 1) AS split FROM lineitem""",
+)
+def _(t):
+    gaps = F.array(*map(F.lit, ["  ", " ", ", ", " a "]))
+    gap = F.element_at(gaps, (F.col("l_linenumber") % 4 + 1).cast("int"))
+    units = F.concat(F.lit("0"), F.col("l_linenumber").cast("string"), gap, F.col("l_partkey").cast("string"))
+    return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", text.has_split_digits(units).alias("split"))
+
+
+@query(
+    "reading_texts",
+    """SELECT event_id, CAST(event_id % 400 // 2 AS VARCHAR) || CASE WHEN event_id % 2 = 1 THEN '.5 %' ELSE '.0 %' END AS share,
+        strftime(ts, '%d/%m/%Y, %H:%M:%S') AS stamp FROM events""",
+)
+def _(t):
+    share = (F.col("event_id") % 400) / 2
+    return t.events.select("event_id", text.percent_text(share).alias("share"), text.stamp_text(F.col("ts")).alias("stamp"))
 
 
 @query(
