@@ -58,21 +58,26 @@ def many_valued(df: DataFrame, columns: list[str], k: int) -> set[str]:
     return {c for i, c in enumerate(columns) if facts[i] > k}
 
 
-def show_cases(df: DataFrame, columns: list[str], k: int, example_by: list[str]) -> DataFrame:
-    """One example row and the row count of every combination of values in ``columns``.
+def show_cases(
+    df: DataFrame, columns: list[str] | None = None, k: int = 5, example_by: list[str] = (), whole: bool = False
+) -> DataFrame:
+    """One example row and the row count of every combination of values in ``columns`` (all by default).
 
-    A column with more than ``k`` distinct values only counts as known or unknown.
-    The example is the first row by ``example_by``.
+    A column with more than ``k`` distinct values only counts as known or unknown. The example
+    is the first row by ``example_by``, else by all columns; with ``whole`` it has all columns.
     """
+    columns = list(columns or df.columns)
     wide = many_valued(df, columns, k)
     cases = {
-        f"{c}_case": F.col(c).isNotNull() if c in wide else F.col(c) for c in columns
+        f"{c}_case": F.col(f"`{c}`").isNotNull() if c in wide else F.col(f"`{c}`") for c in columns
     }
-    example = F.min_by(F.struct(*columns), F.struct(*example_by))
+    shown = df.columns if whole else columns
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    example = F.min_by(F.struct(*quoted(shown)), F.struct(*quoted(example_by or df.columns)))
     return (
         df.groupBy(*[expr.alias(name) for name, expr in cases.items()])
         .agg(example.alias("_example"), F.count("*").alias("n"))
-        .select("_example.*", *cases, "n")
+        .select("_example.*", *quoted(cases), "n")
     )
 
 

@@ -108,6 +108,27 @@ def _(t):
     return dg.show_cases(t.plant_fx, _CASES, 5, ["plant_id"])
 
 
+@query(
+    "whole_profile",
+    """SELECT s_suppkey, s_nationkey, region, rich, s_suppkey_case, s_nationkey_case, region_case, rich_case, n FROM
+        (SELECT s_suppkey, s_nationkey, n_regionkey AS region, CASE WHEN s_acctbal > 0 THEN s_acctbal > 5000 END AS rich,
+         true AS s_suppkey_case, true AS s_nationkey_case, n_regionkey AS region_case,
+         CASE WHEN s_acctbal > 0 THEN s_acctbal > 5000 END AS rich_case,
+         count(*) OVER w AS n, row_number() OVER (w ORDER BY s_suppkey) AS rn
+         FROM supplier JOIN nation ON s_nationkey = n_nationkey
+         WINDOW w AS (PARTITION BY n_regionkey, CASE WHEN s_acctbal > 0 THEN s_acctbal > 5000 END)) WHERE rn = 1""",
+)
+def _(t):
+    """All columns, each example with its whole row."""
+    rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey",
+        "s_nationkey",
+        F.col("n_regionkey").alias("region"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_acctbal") > 5000).alias("rich"),
+    )
+    return dg.show_cases(rows, whole=True)
+
+
 @query(
     "constant_columns",
     """SELECT 'closed' AS "column", CAST(0 AS BIGINT) AS known UNION ALL

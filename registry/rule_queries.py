@@ -11,7 +11,7 @@ from milepost.operators.aggregates import value_counts
 from milepost.plans import rules_plant as rp
 from milepost.plans import rules_unit as ru
 from milepost.plans import rules_verdict as rv
-from milepost.plans import batch, texts, training
+from milepost.plans import batch, training
 from milepost.plans import forecast as fc
 from milepost.plans.pipelines import (
     Snapshot,
@@ -41,9 +41,52 @@ def _state(a: str, b: str, bad: str, gate: str = "true") -> str:
  WHEN {a} = 'Não se Aplica' AND {b} = 'Não se Aplica' AND {gate} THEN 'Verificar' ELSE 'Não informado' END"""
 
 
+# What the rules have to write, stated here once more so that a changed text shows.
+_JUSTIFICATIONS = {
+    9.0: "Analisar justificativa: Revogação da outorga em avaliação ou Demandas judiciais ou Inviabilidade da implantação da usina",
+    8.0: "Paralisação de obras",
+    0.2: "Analisar justificativa: Sem Licença de Operação (LO) ou Alterações de características técnicas ou Estágio das obras da conexão associada ou Demandas judiciais ou Paralisação de obras",
+    0.1: "Estágio das obras da usina",
+    0.3: "Estágio das obras da usina",
+    1.0: "Compromisso de venda de energia - PPA",
+    2.0: "Acesso a rede contratado - CUST/CUSD",
+    3.0: "Acesso a rede não contratado - CUST/CUSD",
+    4.0: "Sem Licença de Instalação - LI",
+    5.0: "Sem Licença de Instalação - LI",
+    6.0: "Nenhuma licença ambiental válida",
+    7.0: "Sem RAPEEL",
+}
+_DESCRIPTIONS = {
+    9: "Usina Viabilidade Baixa análise da fiscalização",
+    1: "Usina sem obras com PPA = Previsão OC maior entre data calculada, data RAPEEL e data compromisso",
+    2: "Usina sem obras com CUST = Previsão OC maior entre data calculada, data RAPEEL e data compromisso",
+    3: "Usina sem obras, sem cust, sem PPA e com LI = Previsão OC handicap de 5 anos",
+    4: "Usina sem obras, com cust, sem PPA e sem LI = Previsão OC handicap de 5 anos",
+    5: "Usina sem obras, sem cust, sem PPA e sem LI = Previsão OC handicap de 5 anos",
+    7: "Usina sem obras, sem PPA e sem RAPEEL = Previsão OC handicap de 5 anos",
+    6: "Usina sem LP = Previsão OC sem previsão",
+    8: "Usina obras paralisadas = Previsão OC maior entre data RAPEEL e data compromisso",
+}
+_WORKS = "Usina em obras = Previsão OC maior entre data calculada e data RAPEEL"
+_TEST_LONG = "Usina em Teste há mais de 30 dias = Previsão OC próximos 60 dias"
+_TEST = "Usina em Teste = Previsão OC conforme data calculada"
+_GRID = "Situação das obras de conexão e linha de transmissão associada."
+_MILESTONES = [
+    ("DatInicioObraRealizado", "start_date", "reported_start"),
+    ("DatConcretagemRealizado", "concrete_date", "reported_concrete"),
+    ("DatMontagemRealizado", "assembly_date", "reported_assembly"),
+    ("DatEnchimentoRealizado", "filling_date", "reported_filling"),
+    ("DatSisTransmissaoRealizado", "transmission_start_date", "reported_transmission_start"),
+    ("DatCanteiroObraRealizado", "site_date", "reported_site"),
+    ("DatComissionamentoUGRealizado", "commissioning_date", "reported_commissioning"),
+    ("DatConclusaoSisTransRealizado", "transmission_end_date", "reported_transmission_end"),
+    ("DatDesvioRioRealizado", "diversion_date", "reported_diversion"),
+    ("DatConclusaoTorresRealizado", "towers_date", "reported_towers"),
+]
+
 _OPEN = [
     f"CASE WHEN {registry} IS NULL AND {reported} IS NOT NULL THEN '{label}' END"
-    for label, registry, reported in rp.MILESTONES_TO_RATIFY
+    for label, registry, reported in _MILESTONES
 ]
 
 
@@ -124,13 +167,13 @@ steps(
  LEFT JOIN rv_lead l ON l.plant_id = s.plant_id LEFT JOIN rv_worst w ON w.plant_id = s.plant_id""",
     rv_manual=f"""SELECT p.*, r.* EXCLUDE (plant_id), coalesce(p.monitored_at < DATE '2000-06-15' - 120, false) AS stale,
  paralysed OR unforeseeable OR selected OR in_test OR any_manual_date
- OR coalesce(justification = '{texts.GRID_JUSTIFICATION}', false) AS manual FROM rp_plants p JOIN rv_roll r ON r.plant_id = p.plant_id""",
+ OR coalesce(justification = '{_GRID}', false) AS manual FROM rp_plants p JOIN rv_roll r ON r.plant_id = p.plant_id""",
     rv_plants=f"""SELECT *, NOT manual AND NOT review_start AND NOT to_ratify AS lane_1, NOT manual AND review_start AND NOT to_ratify AS lane_2a,
  NOT manual AND to_ratify AS lane_2b, (manual AND (stale OR to_ratify OR review_start OR date_past)) OR in_test AS lane_3,
- CASE {_cases('criterion_pmo_max', texts.JUSTIFICATIONS)} ELSE '0' END AS justification_new,
- CASE WHEN criterion = 0 AND worst_phase IS DISTINCT FROM 'OT' THEN '{texts.DESCRIPTION_WORKS}'
-  WHEN criterion = 0 AND worst_over = 1 THEN '{texts.DESCRIPTION_TEST_LONG}' WHEN criterion = 0 THEN '{texts.DESCRIPTION_TEST}'
-  {_cases('criterion', texts.DESCRIPTIONS)} ELSE '0' END AS criterion_text FROM rv_manual""",
+ CASE {_cases('criterion_pmo_max', _JUSTIFICATIONS)} ELSE '0' END AS justification_new,
+ CASE WHEN criterion = 0 AND worst_phase IS DISTINCT FROM 'OT' THEN '{_WORKS}'
+  WHEN criterion = 0 AND worst_over = 1 THEN '{_TEST_LONG}' WHEN criterion = 0 THEN '{_TEST}'
+  {_cases('criterion', _DESCRIPTIONS)} ELSE '0' END AS criterion_text FROM rv_manual""",
 )
 
 
