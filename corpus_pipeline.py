@@ -38,6 +38,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays, that of the least doc_id."""
     tune(spark)
+    # This stage has many joins one after the other: their sides are not gathered on the driver.
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "2m")
     classes = icws_dedup.near_duplicates(docs)
     # The row that stays is one of the least key; of rows with that key, one of the least digest.
     kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
