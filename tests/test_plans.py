@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from milepost.plans import batch as bt
 from milepost.plans import forecast as fc
 from milepost.plans import rules_plant as rp
 from milepost.plans import rules_unit as ru
@@ -15,8 +16,10 @@ from milepost.plans import rules_verdict as rv
 from milepost.plans import texts, training
 from milepost.plans.model import LEVELS, PHASES
 from milepost.session import SmallTable, staged
+from milepost.sources import sinks
 from registry import rule_queries as rq
 from registry.base import Tables
+from registry.training_queries import trained
 from tests.conftest import FOLDER
 
 AS_OF = dt.date(2000, 6, 15)
@@ -195,3 +198,22 @@ def test_scans_read_only_needed_columns(spark):
     t = Tables(spark, FOLDER)
     text = physical(fc.first_supply(t.auction_fx))
     assert "l_orderkey" in text and "l_extendedprice" not in text
+
+
+def test_batches_open_and_close(spark, tmp_path):
+    t, folder = Tables(spark, FOLDER), str(tmp_path)
+    table = staged(trained(t).coefficient_table())
+    run = lambda stage, name, **more: stage(rq.snapshot(t), table, AS_OF, folder, name, **more)
+    assert bt.batch_status(spark, folder).isEmpty() and bt.open_batches(spark, folder).isEmpty()
+    with pytest.raises(ValueError, match="not open"):
+        run(bt.stage_two_batch, "may")
+    plants, _ = run(bt.stage_one, "may")
+    with pytest.raises(ValueError, match="not finished"):
+        run(bt.stage_one, "june")
+    redo = {r.plant_id for r in plants.filter("lane_2a OR lane_2b").collect()}
+    listed = sinks.read_report(spark, f"{folder}/may/stage_1", "redo_list")
+    assert redo and {int(r.IdeUsinaOutorga) for r in listed.collect()} == redo
+    again, units = run(bt.stage_two_batch, "may")
+    assert {r.plant_id for r in again.collect()} == redo and units.filter("NOT lane_1").isEmpty()
+    assert bt.open_batches(spark, folder).isEmpty()
+    assert sorted(r.stage for r in bt.batch_status(spark, folder).collect()) == [1, 2]

@@ -6,6 +6,8 @@ import datetime as dt
 import glob
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -55,3 +57,10 @@ def test_matches_oracle(name, spark, duck):
 def test_entry_is_stable(spark):
     df = entry.entry(spark)
     assert "forecast" in df.columns and df.count() > 0
+
+
+def test_queries_load_without_the_text_libraries():
+    """The text subpackage needs libraries that the other queries do not."""
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()))"
+    found = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(entry.__file__), capture_output=True, text=True, check=True)
+    assert int(found.stdout) == len(QUERIES)
