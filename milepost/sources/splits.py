@@ -12,19 +12,38 @@ RANGES = 4096
 def key_counts(df: DataFrame, key: str, ranges: int = RANGES) -> list[tuple[int | None, int]]:
     """(first key, rows) of ranges of equal width between the bounds, and (None, rows) of no key.
 
-    Two small aggregates: the bounds, then the rows per range. Over JDBC both are pushed to
-    the database, which sends a row a range.
+    Two small aggregates: the bounds, then the rows per range.
     """
     low, high = df.agg(F.min(key), F.max(key)).first()
     if low is None:
         return [(None, df.count())]
-    width = (high - low) // ranges + 1
+    width = range_width(low, high, ranges)
     place = F.floor((F.col(key) - F.lit(low)) / F.lit(width))
     rows = df.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect()  # ``ranges`` at most
-    counts = [(None if r.place is None else low + r.place * width, r.n) for r in rows]
+    return counts_of(rows, low, width)
+
+
+def range_width(low: int, high: int, ranges: int = RANGES) -> int:
+    return (int(high) - int(low)) // ranges + 1
+
+
+def counts_of(rows: list, low: int, width: int) -> list[tuple[int | None, int]]:
+    """Rows (place, n) as (first key, n), rows without a key first."""
+    counts = [(None if place is None else int(low) + int(place) * width, int(n)) for place, n in rows]
     return sorted(counts, key=lambda c: (c[0] is not None, c[0] or 0))
 
 
+def bounds_query(view: str, key: str) -> str:
+    """SQL that a database answers with one row, for the bounds of a key."""
+    return f"SELECT MIN({key}) AS low, MAX({key}) AS high, COUNT(*) AS n FROM {view}"
+
+
+def counts_query(view: str, key: str, low: int, width: int) -> str:
+    """SQL that a database answers with one row a range, for the rows per range of keys."""
+    place = f"FLOOR(({key} - {low}) / {width})"
+    return f"SELECT {place} AS place, COUNT(*) AS n FROM {view} GROUP BY {place}"
+
+
 def split_predicates(counts: list[tuple[int | None, int]], key: str, parts: int) -> list[str]:
     """Predicates that together take every row exactly once, rows without a key included.
 

@@ -11,7 +11,7 @@ from milepost.plans.pipelines import Snapshot
 from milepost.sources.catalog import SNAPSHOT_TABLES, VIEWS
 from milepost.sources.files import read_id_list
 from milepost.sources.manifest import commit_tables, read_tables
-from milepost.sources.splits import key_counts, split_predicates
+from milepost.sources.splits import bounds_query, counts_of, counts_query, range_width, split_predicates
 
 KEY = "IdeUsinaOutorga"
 
@@ -67,7 +67,13 @@ def read_view(
     reader = spark.read.format("jdbc").options(**jdbc).option("dbtable", name)
     if KEY not in columns:
         return reader.load().select(*columns)
-    predicates = split_predicates(key_counts(reader.load(), KEY), KEY, parts)
+    ask = lambda text: spark.read.format("jdbc").options(**jdbc).option("query", text).load().collect()
+    low, high, n = ask(bounds_query(name, KEY))[0]
+    counts = [(None, n)]
+    if low is not None:
+        width = range_width(low, high)
+        counts = counts_of(ask(counts_query(name, KEY, low, width)), low, width)
+    predicates = split_predicates(counts, KEY, parts)
     rest = {k: v for k, v in jdbc.items() if k != "url"}
     return spark.read.jdbc(jdbc["url"], name, predicates=predicates, properties=rest).select(*columns)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +163,23 @@ def test_key_counts(spark):
     assert splits.key_counts(df.limit(0), "k") == [(None, 0)]
 
 
+def test_counting_queries_agree_with_the_frame(spark):
+    """The texts that go to a database, answered by one inside this process."""
+    keys = [None, None, -7, 0, 0, 3, 50, 51, 52, 1000]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE v (k BIGINT)")
+    con.executemany("INSERT INTO v VALUES (?)", [(k,) for k in keys])
+    low, high, n = con.execute(splits.bounds_query("v", "k")).fetchone()
+    assert (low, high, n) == (-7, 1000, len(keys))
+    width = splits.range_width(low, high, 16)
+    found = splits.counts_of(con.execute(splits.counts_query("v", "k", low, width)).fetchall(), low, width)
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    assert found == splits.key_counts(df, "k", 16) and found[0] == (None, 2)
+    predicates = splits.split_predicates(found, "k", 3)
+    parts = [con.execute(f"SELECT count(*) FROM v WHERE {p}").fetchone()[0] for p in predicates]
+    assert sum(parts) == len(keys)
+
+
 def test_id_lists_do_not_lose_entries(spark, tmp_path):
     (tmp_path / "ids.txt").write_text("7, 8,\n x9, 10")
     with pytest.raises(ValueError, match="x9"):
