@@ -19,16 +19,17 @@ from __future__ import annotations
 import datetime as dt
 import gzip
 import io
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.session import scratch_dir, staged
+from milepost.session import stage_folder, staged
 
 MIN_REVISIT_BYTES = 1000
+# Spark reads whole files below 2 GiB: an archive of so many pages stays below, however many there are.
+ARCHIVE_RECORDS = 20_000
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = (
@@ -129,7 +130,7 @@ def write_archives(
     found = headers(pages, key, url, html)
     first = originals(staged(found.drop("payload")))
     out = records(found, first, date)
-    out.write.text(folder, compression="gzip", lineSep=CRLF * 2)
+    out.write.option("maxRecordsPerFile", ARCHIVE_RECORDS).text(folder, compression="gzip", lineSep=CRLF * 2)
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[dict]:
@@ -186,4 +187,5 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def archive_folder(spark: SparkSession) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    """A new shared folder, removed with the stage tables of the application."""
+    return stage_folder(spark)
