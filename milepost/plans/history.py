@@ -9,7 +9,7 @@ from milepost.functions.rules import holds
 from milepost.functions.text import unit_count
 from milepost.operators.aggregates import collapse_units
 from milepost.operators.joins import lookup
-from milepost.operators.mapping import apply_mapping
+from milepost.operators.mapping import apply_mapping, route_columns
 from milepost.operators.setops import union_with_origin
 from milepost.plans.model import PHASES, REGULATED
 from milepost.session import staged
@@ -97,7 +97,7 @@ def merged_history(
     shared = ["plant_id", "gen_type", "market", *(m for m in PHASES.values() if m not in own)]
     registry = registry_history(units.select(*own), plants.select(*shared), auctions)
     both = {"legacy": legacy_history(legacy, types), "registry": registry}
-    return combine_history(*[df.select(*HISTORY_COLUMNS) for df in both.values()])
+    return combine_history(**route_columns(HISTORY_COLUMNS, both))
 
 
 def combine_history(legacy: DataFrame, registry: DataFrame) -> DataFrame:
