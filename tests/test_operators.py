@@ -294,6 +294,14 @@ def test_unknown_keys_are_dealt_over_parts(spark):
     assert plan(pairs).count("xxhash64") >= 1
 
 
+def test_rows_with_some_key_known_travel_once(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (None, None)], "p int, u int")
+    copies = joins.copied(df, ["p", "u"], "_copy").groupBy("p", "u").count()
+    assert rows(copies, "p", "count") == [(1, 1), (None, 1), (None, joins.UNKNOWN_PARTS)]
+    both = joins.null_safe_join(df, df.withColumn("x", F.lit(1)), ["p", "u"], "inner")
+    assert both.count() == 3
+
+
 def test_grid_and_cells_come_from_one_aggregate(spark):
     df = spark.createDataFrame(
         [("a", 1, True, 2.0), ("b", 2, False, 4.0), ("a", 1, True, 6.0), (None, 3, None, 1.0), ("b", None, True, 9.0)],
