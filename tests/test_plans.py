@@ -217,3 +217,8 @@ def test_batches_open_and_close(spark, tmp_path):
     assert {r.plant_id for r in again.collect()} == redo and units.filter("NOT lane_1").isEmpty()
     assert bt.open_batches(spark, folder).isEmpty()
     assert sorted(r.stage for r in bt.batch_status(spark, folder).collect()) == [1, 2]
+
+
+def test_a_stage_table_has_settings_of_its_own(spark):
+    key, seen = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    assert staged(spark.range(3), **{key: "8000"}).count() == 3 and spark.conf.get(key) == seen
