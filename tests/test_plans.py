@@ -219,6 +219,13 @@ def test_batches_open_and_close(spark, tmp_path):
     assert sorted(r.stage for r in bt.batch_status(spark, folder).collect()) == [1, 2]
 
 
+def test_unit_queries_stage_only_what_units_read(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rq, "staged", lambda df: seen.append(df.columns) or df)
+    rq.units_of(Tables(spark, FOLDER))
+    assert seen == [["plant_id", *ru.PLANT_COLUMNS]]
+
+
 def test_a_stage_table_has_settings_of_its_own(spark):
     key, seen = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
     assert staged(spark.range(3), **{key: "8000"}).count() == 3 and spark.conf.get(key) == seen
