@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from milepost.plans import batch as bt
 from milepost.plans import forecast as fc
+from milepost.plans import pipelines as pl
 from milepost.plans import rules_plant as rp
 from milepost.plans import rules_unit as ru
 from milepost.plans import rules_verdict as rv
@@ -226,6 +227,13 @@ def test_unit_queries_stage_only_what_units_read(spark, monkeypatch):
     assert seen == [["plant_id", *ru.PLANT_COLUMNS]]
 
 
+def test_review_tables_are_those_of_the_batch(spark):
+    t = Tables(spark, FOLDER)
+    for ours, theirs in zip(pl.review_tables(rq.snapshot(t), t.forecast_fx, AS_OF), rq.batch_of(t), strict=True):
+        assert ours.columns == theirs.columns and "Scan parquet" in physical(ours) and "Join" not in physical(ours)
+        assert ours.exceptAll(theirs).isEmpty() and ours.count() == theirs.count()
+
+
 def test_a_stage_table_has_settings_of_its_own(spark):
     key, seen = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
     assert staged(spark.range(3), **{key: "8000"}).count() == 3 and spark.conf.get(key) == seen
