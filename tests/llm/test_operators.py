@@ -488,6 +488,28 @@ def test_links_between_components_of_two_leads(spark):
     assert [r.class_id for r in rows] == want
 
 
+def test_near_duplicates_tests_few_pairs_of_a_large_key(spark, monkeypatch):
+    # Texts that differ from a core in four places: most pairs are 0.7 to 0.78 alike, few reach 0.8.
+    rng, tested, verified = np.random.default_rng(31), [], icws_dedup.verified
+    core, texts = words(rng, 300).split(), []
+    for _ in range(150):
+        own = list(core)
+        for at in rng.choice(300, 4, replace=False).tolist():
+            own[at] = own[at][::-1] + "x"
+        texts.append(" ".join(own))
+
+    def counted(pairs, rows, idf):
+        tested.append(pairs.count())
+        return verified(pairs, rows, idf)
+
+    monkeypatch.setattr(icws_dedup, "verified", counted)
+    rows = icws_dedup.near_duplicates(docs_of(spark, texts)).orderBy("doc_id").collect()
+    class_of = [r.class_id for r in rows]
+    assert all(class_of[a] == class_of[b] for a, b in weighted_pairs(texts, range(150)))
+    assert len(set(class_of)) > 10
+    assert sum(tested) < 2_500
+
+
 def test_samples_agree_as_often_as_texts():
     rng = np.random.default_rng(15)
     hashes = rng.integers(0, 2**63, 600, dtype=np.uint64)
