@@ -57,6 +57,9 @@ SHARP_FROM = 64
 SHARP_SAMPLES, SHARP_PLANES, SHARP_SLACK = 4096, 2, 715
 PART_BYTES = 1_000_000
 BLOCK = 1024
+# The texts that meet their whole keys are broadcast up to this size. Beyond, the runtime splits both sides of a
+# large key: the parts that meet grow with the square of its bytes, which pays for large parts only.
+OPEN_BYTES = "32m"
 # Keys of texts to fetch are broadcast up to this number (16 bytes each), joined by shuffle beyond.
 BROADCAST_KEYS = 500_000
 _BASE = 0x9E3779B97F4A7C15
@@ -378,7 +381,7 @@ def _links(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     large = in_key.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARP_FROM).select("key")
     texts = texts_of(staged(in_key.join(large, "key", "left_semi").select("digest").distinct()), rows)
     sharp = staged(signatures(texts, idf, SHARP_SAMPLES, SHARP_PLANES).select("digest", F.col("sketch").alias("sharp")))
-    every = in_key.join(fine, "digest").join(sharp, "digest", "left")
+    every = staged(in_key.join(fine, "digest").join(sharp, "digest", "left"))
     opened = every.filter("open").select("key", F.struct("digest", "root", "x", "sharp").alias("o"))
     rest = opened.join(
         every,
@@ -388,8 +391,10 @@ def _links(rows: DataFrame, idf: np.ndarray) -> DataFrame:
         & similar_sketch(F.col("x"), F.col("o.x"), fine=True)
         & similar_sharp(F.col("sharp"), F.col("o.sharp")),
     )
-    rest = rest.select(F.least("digest", "o.digest").alias("a"), F.greatest("digest", "o.digest").alias("b")).distinct()
-    rest = staged(rest.join(tested, ["a", "b"], "left_anti"))
+    # Written where they meet: a shuffle from here would leave files for each two parts of a key, most without a row.
+    met = rest.select(F.least("digest", "o.digest").alias("a"), F.greatest("digest", "o.digest").alias("b"))
+    met = staged(met, **{"spark.sql.adaptive.autoBroadcastJoinThreshold": OPEN_BYTES})
+    rest = staged(met.distinct().join(tested, ["a", "b"], "left_anti"))
     return components(links.unionAll(verified(rest, rows, idf).select("a", "b")))
 
 

@@ -510,6 +510,38 @@ def test_near_duplicates_tests_few_pairs_of_a_large_key(spark, monkeypatch):
     assert sum(tested) < 2_500
 
 
+def test_open_texts_are_broadcast_to_their_keys(spark, monkeypatch):
+    # As in the pipeline, where sides are joined by shuffle from a small size on: parts of both sides of a key
+    # would meet in a task each.
+    rng, plans, staged = np.random.default_rng(31), [], icws_dedup.staged
+    core, texts = words(rng, 100).split(), []
+    for _ in range(100):
+        own = list(core)
+        for at in rng.choice(100, 2, replace=False).tolist():
+            own[at] = own[at][::-1] + "x"
+        texts.append(" ".join(own))
+    size = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+    def watched(df, **settings):
+        if df.columns == ["a", "b"] and "sharp" in df._jdf.queryExecution().analyzed().toString():
+            now = spark.conf.get(size)
+            spark.conf.set(size, settings.get(size, now))
+            df.collect()
+            spark.conf.set(size, now)
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return staged(df, **settings)
+
+    monkeypatch.setattr(icws_dedup, "staged", watched)
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "1k")
+        icws_dedup.near_duplicates(docs_of(spark, texts)).count()
+    finally:
+        spark.conf.set(size, before)
+    assert len(plans) == 1
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+
+
 def test_samples_agree_as_often_as_texts():
     rng = np.random.default_rng(15)
     hashes = rng.integers(0, 2**63, 600, dtype=np.uint64)
